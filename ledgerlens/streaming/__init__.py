@@ -1,0 +1 @@
+"""Intentionally empty: every supported computation is batch, by calendar period."""
