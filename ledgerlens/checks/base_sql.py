@@ -12,9 +12,9 @@ RUN_DATE = "1998-01-01"
 LAST_DAY = "1997-12-31"
 PERIODS = {"l1m": "1997-12-01", "l3m": "1997-10-01", "l6m": "1997-07-01", "l12m": "1997-01-01"}
 
-_GROSS = "CAST(floor(l_extendedprice / 100) * 100 AS DECIMAL(12,0))"
-_DISC = f"CAST({_GROSS} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
-_TAX = f"CAST({_GROSS} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))"
+_GROSS = "(floor(l_extendedprice / 100) * 100)"
+_DISC = f"round({_GROSS} * l_discount)"
+_TAX = f"round({_GROSS} * l_tax)"
 
 CTE: dict[str, str] = {
     "inv": f"""
@@ -27,18 +27,18 @@ CTE: dict[str, str] = {
                CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS buyer,
                l_linestatus AS transport, o_orderstatus || '-' || (o_custkey % 7) AS buyer_address,
                {_TAX} AS tax, CASE WHEN l_partkey % 23 <> 0 THEN {_DISC} END AS discount,
-               CAST({_DISC} * 2 AS DECIMAL(18,2)) AS settlement_discount,
-               CAST({_GROSS} - {_DISC} AS DECIMAL(18,2)) AS with_vat,
-               CAST({_GROSS} - {_DISC} - {_TAX} AS DECIMAL(18,2)) AS without_vat,
+               {_DISC} * 2 AS settlement_discount,
+               {_GROSS} - {_DISC} AS with_vat,
+               {_GROSS} - {_DISC} - {_TAX} AS without_vat,
                CASE WHEN l_partkey % 29 <> 0 THEN o_orderpriority END AS payment,
                '[{{"sku": ' || l_partkey || '}}]' AS items,
                strftime(l_shipdate + to_hours(l_partkey % 24), '%Y%m') AS partition_month,
                CASE WHEN l_partkey % 211 <> 0 THEN l_shipdate + to_hours(l_partkey % 24) END AS signed_ts,
                CASE WHEN l_partkey % 17 = 0 THEN 'PENDING' WHEN l_partkey % 17 = 1 THEN 'CODE_APPROVED'
                     ELSE 'TAX_CODE_APPROVED_1' END AS error_code,
-               CAST({_GROSS} - {_DISC} - {_TAX} AS DECIMAL(18,2)) AS sale,
+               {_GROSS} - {_DISC} - {_TAX} AS sale,
                CASE WHEN l_partkey % 19 <> 0 AND l_returnflag = 'A'
-                    THEN CAST({_GROSS} - {_DISC} - {_TAX} AS DECIMAL(18,2)) END AS adjusted_with_vat,
+                    THEN {_GROSS} - {_DISC} - {_TAX} END AS adjusted_with_vat,
                CASE WHEN l_partkey % 19 <> 0 AND l_returnflag NOT IN ('N', 'A') THEN {_TAX} END AS adjusted_without_vat
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "oinv": """
@@ -51,10 +51,10 @@ CTE: dict[str, str] = {
                CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS buyer,
                o_orderstatus AS transport, o_orderstatus || '/' || (o_orderkey % 3) AS buyer_address,
                CAST(o_custkey % 50 AS VARCHAR) AS buyer_name,
-               CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS with_vat_foreign,
-               CAST(floor(o_totalprice / 1000) AS DECIMAL(18,2)) AS discount,
-               CAST(floor(o_totalprice / 500) AS DECIMAL(18,2)) AS settlement_discount,
-               CAST(o_totalprice AS DECIMAL(18,2)) AS with_vat, CAST(o_totalprice AS DECIMAL(18,2)) AS without_vat,
+               CASE WHEN o_orderkey % 4 <> 0 THEN floor(o_totalprice) END AS with_vat_foreign,
+               floor(o_totalprice / 1000) AS discount,
+               floor(o_totalprice / 500) AS settlement_discount,
+               floor(o_totalprice) AS with_vat, floor(o_totalprice) AS without_vat,
                CAST(o_orderkey - 1 AS VARCHAR) AS original_invoice, o_orderpriority AS payment,
                '[' || (o_orderkey % 40) || ']' AS items, CAST(o_orderkey // 100 AS VARCHAR) AS partition_month
         FROM orders""",

@@ -11,16 +11,15 @@ from ledgerlens.functions import dates
 from ledgerlens.functions.contacts import contact_values
 from ledgerlens.plans import grains
 from ledgerlens.sources import star_tables
-from ledgerlens.sources.invoices import InvoicePolicy, analysis_rows
+from ledgerlens.sources.invoices import analysis_rows
 
 RUN_DATE = dt.date(1998, 1, 1)
 LAST_DAY = dates.last_closed_day(RUN_DATE)
 FIRST_DAY = dates.month_start(LAST_DAY, 11)
-POLICY = InvoicePolicy(amount=star_tables.AMOUNT)
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis_rows(star_tables.invoices(spark, sf_dir), POLICY)
+    return analysis_rows(star_tables.invoices(spark, sf_dir))
 
 
 def day_grain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Condition = tuple[Column, str]
@@ -79,13 +79,6 @@ def over_windows(
     ]
 
 
-def spec_over_windows(
-    spec: Mapping[str, Sequence[str]], conditions: Sequence[Condition], exact: bool = False
-) -> list[Column]:
-    """Same for a mapping of column to its own functions."""
-    return [e for column, functions in spec.items() for e in over_windows([column], functions, conditions, exact)]
-
-
 def regression_over_windows(
     columns: Iterable[str], x: str, functions: Sequence[str], conditions: Sequence[Condition]
 ) -> list[Column]:
@@ -107,3 +100,22 @@ def count_if(condition: Column) -> Column:
 def sum_if(condition: Column, value: Column) -> Column:
     """Sum over matching rows, where a row that does not match counts as zero."""
     return F.sum(F.when(condition, value).otherwise(F.lit(0)))
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Exact distinct counts of several columns per key, from slim (kind, value) rows.
+
+    Asking for several distinct counts beside ordinary aggregates makes Spark copy
+    the whole aggregate row once per distinct column. Here only key, kind and value
+    travel, deduplicated before each shuffle, so a dominant key is spread by value.
+    """
+    names = list(values)
+    entries = [F.struct(F.lit(i).alias("kind"), values[n].cast("string").alias("value")) for i, n in enumerate(names)]
+    return (
+        df.select(*keys, F.explode(F.array(*entries)).alias("e"))
+        .filter(F.col("e.value").isNotNull())
+        .select(*keys, "e.kind", "e.value")
+        .distinct()
+        .groupBy(*keys)
+        .agg(*[count_if(F.col("kind") == i).alias(n) for i, n in enumerate(names)])
+    )

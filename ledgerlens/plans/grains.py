@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.aggregates import aggregate, count_if, mean, sum_if
+from ledgerlens.functions.aggregates import aggregate, count_if, distinct_counts, mean, sum_if
 from ledgerlens.functions.scalars import OTHER_BAND, TAX_BANDS, ratio
 from ledgerlens.operators import windows
 
@@ -73,12 +73,10 @@ def tax_band_measures(band: Column, value: Column) -> dict[str, Column]:
 
 
 def day_grain(rows: DataFrame) -> DataFrame:
-    """Seller-day measures in one pass over the invoices.
+    """Seller-day measures.
 
     A measure starting with ``daily_`` covers the invoices that count; the others
     cover all. A day without counted invoices has ``daily_invoice_count`` zero.
-    Distinct counts are exact, and Spark deduplicates them before the final
-    shuffle, so a dominant seller does not land in one task.
     """
     counted = F.col("counts")
 
@@ -90,15 +88,12 @@ def day_grain(rows: DataFrame) -> DataFrame:
     measures = {
         "total_sales": F.sum(sales),
         "invoice_count": count_if(counted),
-        "buyer_count": F.count_distinct(only("mst_buyer")),
         "total_tax": F.sum(only("tax_amt")),
         "total_discount": F.sum(only("discount_amt")),
         "total_without_vat": F.sum(only("total_without_vat")),
         "total_with_vat": F.sum(only("total_with_vat")),
         "night_invoice_count": count_if(counted & F.col("is_night")),
         "core_invoice_count": count_if(counted & F.col("is_core")),
-        "distinct_payment_methods": F.count_distinct(only("payment_method")),
-        "distinct_transport": F.count_distinct(only("transport")),
         "max_invoice_value": F.max(sales),
         "min_invoice_value": F.min(sales),
         "avg_invoice_value": mean(sales),
@@ -111,6 +106,16 @@ def day_grain(rows: DataFrame) -> DataFrame:
         F.max(F.col("mst_buyer").isNotNull()).alias("has_buyer"),
         F.max(F.when(F.col("total_sales") > 0, F.col("total_sales"))).alias("max_positive_sale"),
     )
+    distinct = distinct_counts(
+        rows.filter(counted),
+        SELLER_DAY,
+        {
+            "daily_buyer_count": F.col("mst_buyer"),
+            "daily_distinct_payment_methods": F.col("payment_method"),
+            "daily_distinct_transport": F.col("transport"),
+        },
+    )
+    grain = grain.join(distinct, list(SELLER_DAY), "left").na.fill(0, subset=distinct.columns[2:])
     return grain.withColumns(
         {
             name: ratio(F.coalesce(F.col(top), F.lit(0)), F.col(bottom))

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates
-from ledgerlens.functions.aggregates import mean, over_windows, spec_over_windows
+from ledgerlens.functions.aggregates import mean
 from ledgerlens.functions.scalars import ratio
-from ledgerlens.operators import windows
+from ledgerlens.operators import trailing, windows
 from ledgerlens.plans import grains
 
 KEYS = ("as_of", "mst_seller")
@@ -33,12 +33,16 @@ SALES: dict[str, Sequence[str]] = dict.fromkeys(
 )
 NIGHT = dict.fromkeys(("daily_night_ratio", "daily_core_ratio"), ("avg", "max", "std"))
 DISCOUNT = dict.fromkeys(("daily_discount_ratio", "daily_total_discount"), ("sum", "avg", "max"))
-VALUE = dict.fromkeys(("daily_avg_invoice_value", "daily_max_invoice_value"), ("avg", "max", "min", "std", "skew"))
-VALUE_MEDIAN = dict.fromkeys(VALUE, ("med",))
+VALUE = dict.fromkeys(
+    ("daily_avg_invoice_value", "daily_max_invoice_value"), ("avg", "max", "min", "std", "med", "skew")
+)
 ACTIVITY = {"days_gap": ("avg", "max", "min", "std")}
 DIVERSITY = dict.fromkeys(("daily_distinct_payment_methods", "daily_distinct_transport"), ("avg", "max"))
 DIRECT = SALES | NIGHT | DISCOUNT | VALUE | ACTIVITY | DIVERSITY
 
+TOP_DAYS = (5, 10)
+CHANGES = ("sales_amt_perc_change", "invoice_cnt_perc_change_self")
+
 # Columns of the monthly table that are keys or inputs of others, not metrics.
 NOT_METRICS = {
     "mst_seller",
@@ -56,43 +60,56 @@ NIGHT_MIN_RATIO = 0.30
 NIGHT_MIN_MONTHS = 2
 
 
-def active_day_counts() -> list[Column]:
-    """Active days per window; the daily table has one row per date, so rows count."""
-    return [
-        F.count(F.when(condition, F.col("report_date"))).alias(f"active_days{suffix}")
-        for condition, suffix in dates.trailing_conditions()
-    ]
+DIRECT_NAMES = [f"{c}_{f}" for c, functions in DIRECT.items() for f in functions]
 
 
-def direct_features(days: DataFrame) -> DataFrame:
+def pack_direct(days: DataFrame) -> DataFrame:
     """Daily rows straight to windows, plus the best-day totals, in one aggregate.
 
-    ``days`` is a trailing frame. Medians are sketches and would push the whole
-    aggregate off the fixed-width hash path, so they are computed beside it.
+    ``days`` is a trailing frame. Active days are a row count: the daily table has one
+    row per date.
     """
-    conditions = dates.trailing_conditions()
     framed = windows.with_day_gap(days, KEYS, "report_date")
     framed = windows.ranked(framed, KEYS, "daily_total_sales", "report_date", "day_rank")
-    tops = [
-        windows.sum_of_top("day_rank", k, "daily_total_sales").alias(f"top{k}_days_sales_l12m") for k in (5, 10)
-    ]
-    plain = framed.groupBy(*KEYS).agg(*spec_over_windows(DIRECT, conditions), *active_day_counts(), *tops)
-    medians = days.groupBy(*KEYS).agg(*spec_over_windows(VALUE_MEDIAN, conditions))
-    return plain.join(medians, list(KEYS))
+    measures = trailing.statistics(DIRECT) | {"active_days": F.count("report_date")}
+    measures |= {f"top{k}_days_sales": windows.sum_of_top("day_rank", k, "daily_total_sales") for k in TOP_DAYS}
+    return trailing.pack(framed, KEYS, measures, "direct")
 
 
-def monthly_features(months: DataFrame) -> DataFrame:
+def unpack_direct() -> list[str]:
+    best = trailing.unpack("direct", [f"top{k}_days_sales" for k in TOP_DAYS], ["l12m"])
+    return trailing.unpack("direct", [*DIRECT_NAMES, "active_days"], zero=["active_days"]) + best
+
+
+def direct_features(days: DataFrame) -> DataFrame:
+    return pack_direct(days).selectExpr(*KEYS, *unpack_direct())
+
+
+def monthly_metrics(months: DataFrame) -> list[str]:
+    """Every metric of the month grain: whatever is not a key or an input of another."""
+    return [c for c in [*months.columns, *CHANGES] if c not in NOT_METRICS]
+
+
+def pack_monthly(months: DataFrame) -> DataFrame:
     """Every monthly metric over every window, and the summed month gaps.
 
-    ``months`` is a trailing frame of the month grain; its metrics are whatever
-    columns it has besides keys.
+    ``months`` is a trailing frame of the month grain.
     """
     framed = windows.with_month_gap(grains.with_monthly_change(months, KEYS), KEYS, "report_date")
-    metrics = [c for c in framed.columns if c not in NOT_METRICS]
-    conditions = dates.trailing_conditions()
-    return framed.groupBy(*KEYS).agg(
-        *over_windows(metrics, ALL_FIVE, conditions), *over_windows(["months_gap"], ["sum"], conditions)
-    )
+    spec = dict.fromkeys(monthly_metrics(months), ALL_FIVE) | {"months_gap": ("sum",)}
+    return trailing.pack(framed, KEYS, trailing.statistics(spec), "monthly")
+
+
+def unpack_monthly(metrics: Sequence[str]) -> list[str]:
+    return trailing.unpack("monthly", [f"{c}_{f}" for c in metrics for f in ALL_FIVE])
+
+
+def unpack_month_gaps() -> list[str]:
+    return trailing.unpack("monthly", ["months_gap_sum"])
+
+
+def monthly_features(months: DataFrame) -> DataFrame:
+    return pack_monthly(months).selectExpr(*KEYS, *unpack_monthly(monthly_metrics(months)), *unpack_month_gaps())
 
 
 def night_flag(months: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -142,16 +159,17 @@ def buyer_concentration(partners: DataFrame, keys: Sequence[str] = KEYS) -> Data
     )
 
 
-def top_day_shares() -> dict[str, Column]:
+def top_day_shares() -> list[str]:
     """Share of the best days in the buyer-side total, which is the published formula.
 
     The total comes from the partner table, which omits invoices without a buyer and
     by default ignores the status filter, so a share may exceed one.
     """
-    return {
-        f"top{k}_days_concentration_l12m": ratio(F.col(f"top{k}_days_sales_l12m"), F.col("seller_total_sales_l12m"))
-        for k in (5, 10)
-    }
+    return [
+        f"CASE WHEN seller_total_sales_l12m > 0 THEN CAST(direct['l12m'].top{k}_days_sales AS DOUBLE)"
+        f" / CAST(seller_total_sales_l12m AS DOUBLE) ELSE 0D END AS top{k}_days_concentration_l12m"
+        for k in TOP_DAYS
+    ]
 
 
 def seller_features(
@@ -165,7 +183,8 @@ def seller_features(
 
     ``grain`` and ``partners`` are the full-history day and partner grains. The daily
     table is hashed on the seller once; windows, monthly roll-up and both wide
-    aggregates all work within that layout.
+    aggregates all work within that layout. The groups are joined while their
+    statistics are still packed, and spread into columns once at the end.
     """
     last_days = [dates.last_closed_day(d) for d in run_dates]
     first, last = dates.month_start(min(last_days), 11), max(last_days)
@@ -178,12 +197,18 @@ def seller_features(
     raw = grains.raw_monthly(grain, partners) if raw is None else raw
     this_month = raw.filter(F.col("report_date").isin(last_days)).withColumnRenamed("report_date", "as_of")
 
-    table = direct_features(days).join(monthly_features(months), list(KEYS), "left")
-    if night:
-        table = table.join(night_flag(months), list(KEYS), "left")
-    table = (
-        table.join(buyer_concentration(pairs), list(KEYS), "left")
-        .withColumns(top_day_shares())
-        .join(this_month, list(KEYS), "left")
+    narrow = [night_flag(months)] if night else []
+    narrow += [buyer_concentration(pairs), this_month]
+    table = pack_direct(days).join(pack_monthly(months), list(KEYS), "left")
+    for group in narrow:
+        table = table.join(group, list(KEYS), "left")
+    added = [f"`{c}`" for group in narrow for c in group.columns if c not in KEYS]
+    return table.selectExpr(
+        "as_of AS report_date",
+        "mst_seller",
+        *unpack_direct(),
+        *unpack_monthly(monthly_metrics(months)),
+        *added,
+        *top_day_shares(),
+        *unpack_month_gaps(),
     )
-    return table.withColumnRenamed("as_of", "report_date")

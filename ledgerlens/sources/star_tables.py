@@ -1,7 +1,7 @@
 """Invoice, contact and balance inputs mapped from the star-schema test tables.
 
-Every mapping keeps all rows of its source table. Amounts are whole decimals, so
-sums do not depend on the order rows are added in.
+Every mapping keeps all rows of its source table. Amounts are doubles that hold whole
+numbers, so sums are exact and do not depend on the order rows are added in.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,2)"
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,7 +16,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _whole(price: Column) -> Column:
     """Price rounded down to hundreds, so percentages of it are whole numbers."""
-    return (F.floor(price / 100) * 100).cast("decimal(12,0)")
+    return (F.floor(price / 100) * 100).cast("double")
 
 
 def _hours(n: Column) -> Column:
@@ -28,9 +26,9 @@ def _hours(n: Column) -> Column:
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per line item, in logical columns."""
     gross = _whole(F.col("l_extendedprice"))
-    discount = (gross * F.col("l_discount").cast("decimal(4,2)")).cast(AMOUNT)
-    tax = (gross * F.col("l_tax").cast("decimal(4,2)")).cast(AMOUNT)
-    sale = (gross - discount - tax).cast(AMOUNT)
+    discount = F.round(gross * F.col("l_discount"))
+    tax = F.round(gross * F.col("l_tax"))
+    sale = gross - discount - tax
     part = F.col("l_partkey")
     signed = F.col("l_shipdate") + _hours(part % 24)
     kind = (
@@ -54,8 +52,8 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "o_orderstatus", (F.col("o_custkey") % 7).cast("string")).alias("buyer_address"),
         tax.alias("tax"),
         F.when(part % 23 != 0, discount).alias("discount"),
-        (discount * F.lit(2)).cast(AMOUNT).alias("settlement_discount"),
-        (sale + tax).cast(AMOUNT).alias("with_vat"),
+        (discount * 2).alias("settlement_discount"),
+        (sale + tax).alias("with_vat"),
         sale.alias("without_vat"),
         F.when(part % 29 != 0, F.col("o_orderpriority")).alias("payment"),
         F.concat(F.lit('[{"sku": '), part.cast("string"), F.lit("}]")).alias("items"),
@@ -87,12 +85,12 @@ def order_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("transport"),
         F.concat_ws("/", "o_orderstatus", (key % 3).cast("string")).alias("buyer_address"),
         (F.col("o_custkey") % 50).cast("string").alias("buyer_name"),
-        F.lit(0).cast(AMOUNT).alias("tax"),
-        F.when(key % 4 != 0, F.col("o_totalprice").cast(AMOUNT)).alias("with_vat_foreign"),
-        F.floor(F.col("o_totalprice") / 1000).cast(AMOUNT).alias("discount"),
-        F.floor(F.col("o_totalprice") / 500).cast(AMOUNT).alias("settlement_discount"),
-        F.col("o_totalprice").cast(AMOUNT).alias("with_vat"),
-        F.col("o_totalprice").cast(AMOUNT).alias("without_vat"),
+        F.lit(0.0).alias("tax"),
+        F.when(key % 4 != 0, F.floor("o_totalprice").cast("double")).alias("with_vat_foreign"),
+        F.floor(F.col("o_totalprice") / 1000).cast("double").alias("discount"),
+        F.floor(F.col("o_totalprice") / 500).cast("double").alias("settlement_discount"),
+        F.floor("o_totalprice").cast("double").alias("with_vat"),
+        F.floor("o_totalprice").cast("double").alias("without_vat"),
         (key - 1).cast("string").alias("original_invoice"),
         F.col("o_orderpriority").alias("payment"),
         F.concat(F.lit("["), (key % 40).cast("string"), F.lit("]")).alias("items"),
@@ -143,7 +141,7 @@ def balance_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     orders = read(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("cusid"),
         F.to_date("o_orderdate").alias("report_date"),
-        (F.floor(F.col("o_totalprice") / 100)).cast(AMOUNT).alias("amount"),
+        F.floor(F.col("o_totalprice") / 100).cast("double").alias("amount"),
         F.col("o_orderkey").alias("k"),
     )
 
@@ -180,7 +178,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def account_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account balances by type; some are negative."""
     number = F.col("l_linenumber")
-    amount = _whole(F.col("l_extendedprice")).cast(AMOUNT)
+    amount = _whole(F.col("l_extendedprice"))
     return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("unq_id_src_stm"),
         F.to_date("l_shipdate").alias("ppn_dt"),
