@@ -477,9 +477,9 @@ sales_query(
 )
 sales_query(
     "agg_argmax_ties_frequent",
-    sales_reports.most_frequent_buyers,
-    """SELECT buyer, num_transactions FROM per_buyer
-       WHERE num_transactions = (SELECT max(num_transactions) FROM per_buyer)""",
+    lambda rows: sales_reports.most_frequent_buyers(rows.filter(F.col("buyer").isNotNull())),
+    """SELECT buyer, num_transactions FROM per_buyer WHERE buyer IS NOT NULL
+       AND num_transactions = (SELECT max(num_transactions) FROM per_buyer WHERE buyer IS NOT NULL)""",
 )
 sales_query(
     "agg_argmin_ties",
@@ -489,9 +489,9 @@ sales_query(
 )
 sales_query(
     "agg_discount_top_buyers",
-    sales_reports.discount_of_most_frequent_buyers,
-    """SELECT buyer, sum(discount) AS total_discount FROM s JOIN (SELECT buyer FROM per_buyer
-       WHERE num_transactions = (SELECT max(num_transactions) FROM per_buyer)) USING (buyer) GROUP BY ALL""",
+    lambda rows: sales_reports.discount_of_most_frequent_buyers(rows.filter(F.col("buyer").isNotNull())),
+    """SELECT buyer, sum(discount) AS total_discount FROM s JOIN (SELECT buyer FROM per_buyer WHERE num_transactions
+       = (SELECT max(num_transactions) FROM per_buyer WHERE buyer IS NOT NULL)) USING (buyer) GROUP BY ALL""",
 )
 sales_query(
     "agg_top3_buyer_total",
@@ -584,8 +584,9 @@ CONCENTRATE = """daily AS (SELECT CAST(o_custkey % 200 AS VARCHAR) AS id, CAST(o
     taken AS (SELECT {id} m, max(cum_pct) AS covered_pct, string_agg(CAST(day(day) AS VARCHAR), ',' ORDER BY day) AS picked
               FROM ranked JOIN need USING ({id} m) WHERE day_rank <= needed GROUP BY ALL)
     SELECT {id} strftime(m, '%Y-%m') AS month, m AS month_start, sum(revenue) AS net_month_total,
-           sum(revenue) AS month_total, needed AS days_needed_for_threshold, covered_pct, picked AS selected_days,
-           count(*) AS total_days_in_month_in_data, needed / CAST(count(*) AS DOUBLE) AS share_of_days
+           sum(revenue) AS month_total, any_value(needed) AS days_needed_for_threshold,
+           any_value(covered_pct) AS covered_pct, any_value(picked) AS selected_days,
+           count(*) AS total_days_in_month_in_data, any_value(needed) / CAST(count(*) AS DOUBLE) AS share_of_days
     FROM {source} LEFT JOIN need USING ({id} m) LEFT JOIN taken USING ({id} m) GROUP BY ALL"""
 
 
@@ -627,8 +628,8 @@ NIGHT_CTE = """d AS (SELECT CAST(user_id AS VARCHAR) AS issuer, CAST(ts AS DATE)
           FROM d GROUP BY ALL),
     m AS (SELECT *, strftime(month_start, '%Y-%m') AS month, total_invoices_month / CAST({days} AS DOUBLE)
                  AS avg_invoices_per_day_month FROM m0),
-    months AS (SELECT *, avg_invoices_per_day_month >= 2 AS meets_volume, avg_night_ratio_month >= 0.3 AS
-                 meets_night_ratio, avg_invoices_per_day_month >= 2 AND avg_night_ratio_month >= 0.3 AS qualified_month
+    months AS (SELECT *, avg_invoices_per_day_month >= 2 AS meets_volume, avg_night_ratio_month >= 0.3 - 1e-9 AS
+                 meets_night_ratio, avg_invoices_per_day_month >= 2 AND avg_night_ratio_month >= 0.3 - 1e-9 AS qualified_month
                FROM m)"""
 BY_ACTIVE_DAYS = NIGHT_CTE.replace("{days}", "active_days")
 BY_CALENDAR = NIGHT_CTE.replace("{days}", "day(last_day(month_start))")
@@ -677,11 +678,11 @@ def night_flag_calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     "night_flag_feature",
     q.with_ctes(
         "monthly",
-        f"""SELECT mst_seller, count(*) FILTER (WHERE avg_invoices_per_day >= 100 AND avg_night_ratio >= 0.3)
+        f"""SELECT mst_seller, count(*) FILTER (WHERE avg_invoices_per_day >= 100 AND avg_night_ratio >= 0.3 - 1e-9)
                    AS night_flag_qualified_months_l12m, {snap_sql('sum(avg_night_ratio) / count(*)')} AS
                    avg_night_ratio_l12m, {snap_sql('max(avg_night_ratio)')} AS max_night_ratio_l12m,
                    {snap_sql('sum(avg_core_ratio) / count(*)')} AS avg_core_ratio_l12m,
-                   count(*) FILTER (WHERE avg_invoices_per_day >= 100 AND avg_night_ratio >= 0.3) >= 2
+                   count(*) FILTER (WHERE avg_invoices_per_day >= 100 AND avg_night_ratio >= 0.3 - 1e-9) >= 2
                    AS is_night_flagged FROM monthly GROUP BY ALL""",
     ),
 )

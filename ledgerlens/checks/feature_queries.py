@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.checks import base_sql as q
 from ledgerlens.checks import inputs
-from ledgerlens.checks.registry import plain, query, snap_sql
-from ledgerlens.functions import dates
-from ledgerlens.operators import windows
+from ledgerlens.checks.registry import query, snap_sql, snap_text
 from ledgerlens.plans import grains, seller_features
 
 ALL_FIVE = ["sum", "avg", "min", "max", "std"]
@@ -110,23 +105,17 @@ def typed_list(columns: list[str], counts: set[str] = frozenset(), prefix: str =
     return ", ".join(out)
 
 
-def count_columns(functions: tuple[str, ...] = ("sum", "min", "max")) -> list[str]:
-    return [f"{c}_{f}_{p}" for c in ("days_gap",) for f in functions for p in q.PERIODS]
-
-
 def uniform(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Every numeric feature as a snapped double, counts of active days as long."""
-    wide = df.select(
-        *[
-            F.col(n).cast("long")
-            if n.startswith("active_days_l") or n in RAW_COUNTS or n == "distinct_buyers_l12m"
-            else F.col(n).cast("double")
-            if t not in ("string", "date", "boolean")
-            else F.col(n)
-            for n, t in df.dtypes
-        ]
-    )
-    return plain(wide, digits)
+    """Every numeric feature as a snapped double, plain counts as long."""
+    columns = []
+    for name, kind in df.dtypes:
+        e = f"`{name}`"
+        if name.startswith("active_days_l") or name in RAW_COUNTS or name == "distinct_buyers_l12m":
+            e = f"CAST({e} AS BIGINT)"
+        elif kind not in ("string", "date", "boolean"):
+            e = snap_text(e, digits)
+        columns.append(f"{e} AS `{name}`")
+    return df.selectExpr(*columns)
 
 
 TOP_DAYS = ", ".join(

@@ -38,16 +38,22 @@ def snap_sql(expression: str, digits: int = 6) -> str:
     return f"(floor(CAST({expression} AS DOUBLE) * {grid} + 0.5) / {grid})"
 
 
+def snap_text(expression: str, digits: int) -> str:
+    """:func:`snap` as a select expression."""
+    grid = f"{10**digits}D"
+    return f"CAST(floor(CAST({expression} AS DOUBLE) * {grid} + 0.5D) AS DOUBLE) / {grid}"
+
+
 def plain(df: DataFrame, digits: int = 4, snapped: set[str] | None = None) -> DataFrame:
     """Comparable types: integers as long, decimals as double, doubles on a grid."""
     columns = []
     for name, kind in df.dtypes:
-        col = F.col(f"`{name}`")
+        e = f"`{name}`"
         if kind in ("int", "smallint", "tinyint", "bigint"):
-            col = col.cast("long")
+            e = f"CAST({e} AS BIGINT)"
         elif kind.startswith("decimal"):
-            col = col.cast("double")
+            e = f"CAST({e} AS DOUBLE)"
         elif kind in ("double", "float") and (snapped is None or name in snapped):
-            col = snap(col, digits)
-        columns.append(col.alias(name))
-    return df.select(*columns)
+            e = snap_text(e, digits)
+        columns.append(f"{e} AS `{name}`")
+    return df.selectExpr(*columns)

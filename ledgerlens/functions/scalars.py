@@ -51,6 +51,15 @@ def ratio(numerator: Column, denominator: Column, otherwise: float | None = 0.0)
     return F.when(denominator > 0, value).otherwise(F.lit(otherwise).cast("double"))
 
 
+# A mean of ratios that equals its threshold on paper may miss it by rounding.
+SLACK = 1e-9
+
+
+def at_least(value: Column, minimum: float) -> Column:
+    """``value >= minimum``, decided alike whatever order the value was summed in."""
+    return value >= minimum - SLACK
+
+
 def safe_divide(numerator: Column, denominator: Column) -> Column:
     """Division that gives null for a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

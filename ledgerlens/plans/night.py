@@ -77,8 +77,8 @@ def night_sales(
         .withColumn("avg_invoices_per_day_month", F.col("total_invoices_month").cast("double") / days)
         .withColumns(
             {
-                "meets_volume": F.col("avg_invoices_per_day_month") >= rule.min_invoices_per_day,
-                "meets_night_ratio": F.col("avg_night_ratio_month") >= rule.min_night_ratio,
+                "meets_volume": scalars.at_least(F.col("avg_invoices_per_day_month"), rule.min_invoices_per_day),
+                "meets_night_ratio": scalars.at_least(F.col("avg_night_ratio_month"), rule.min_night_ratio),
             }
         )
         .withColumn("qualified_month", F.col("meets_volume") & F.col("meets_night_ratio"))

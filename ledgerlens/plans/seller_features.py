@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates
 from ledgerlens.functions.aggregates import mean
-from ledgerlens.functions.scalars import ratio
+from ledgerlens.functions.scalars import at_least, ratio
 from ledgerlens.operators import trailing, windows
 from ledgerlens.plans import grains
 
@@ -114,7 +114,9 @@ def monthly_features(months: DataFrame) -> DataFrame:
 
 def night_flag(months: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Night-sale verdict from the month grain."""
-    suspicious = (F.col("avg_invoices_per_day") >= NIGHT_MIN_INVOICES) & (F.col("avg_night_ratio") >= NIGHT_MIN_RATIO)
+    suspicious = at_least(F.col("avg_invoices_per_day"), NIGHT_MIN_INVOICES) & at_least(
+        F.col("avg_night_ratio"), NIGHT_MIN_RATIO
+    )
     return (
         months.groupBy(*keys)
         .agg(
