@@ -784,14 +784,14 @@ def view_temp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "exists_check",
-    """SELECT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P') AS open_orders,
-              EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'none') AS unknown_orders""",
+    """SELECT 'P' AS status, EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P') AS found
+       UNION ALL SELECT 'none', EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'none')""",
 )
 def exists_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star_tables.read(spark, sf_dir, "orders")
 
-    def any_row(status: str, name: str) -> DataFrame:
-        found = orders.filter(F.col("o_orderstatus") == status).limit(1)
-        return found.agg((F.count(F.lit(1)) > 0).alias(name)).withColumn("one", F.lit(1))
+    def any_row(status: str) -> DataFrame:
+        first = orders.filter(F.col("o_orderstatus") == status).limit(1)
+        return first.agg((F.count(F.lit(1)) > 0).alias("found")).select(F.lit(status).alias("status"), "found")
 
-    return any_row("P", "open_orders").join(any_row("none", "unknown_orders"), "one").drop("one")
+    return any_row("P").unionByName(any_row("none"))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.checks import base_sql as q
 from ledgerlens.checks import inputs
 from ledgerlens.checks.registry import query, snap_sql, snap_text
-from ledgerlens.plans import grains, seller_features
+from ledgerlens.plans import seller_features
+from ledgerlens.sources import star_tables
 
 ALL_FIVE = ["sum", "avg", "min", "max", "std"]
 SALES = [
@@ -144,6 +145,4 @@ TOP_DAY_TOTALS = f"""SELECT mst_seller, sum(daily_total_sales) FILTER (WHERE day
     ),
 )
 def seller_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.typed(spark, sf_dir)
-    table = seller_features.seller_features(grains.day_grain(rows), grains.partner_month(rows), [inputs.RUN_DATE])
-    return uniform(table)
+    return uniform(seller_features.from_invoices(star_tables.invoices(spark, sf_dir), [inputs.RUN_DATE]))

@@ -11,6 +11,7 @@ from ledgerlens.checks.registry import plain, query, snap, snap_sql
 from ledgerlens.checks.row_queries import TRADES, recent_trades
 from ledgerlens.functions import dates
 from ledgerlens.operators import joins, windows
+from ledgerlens.operators.skew import salted_join
 from ledgerlens.plans import balances, related
 from ledgerlens.sources import invoices as inv
 from ledgerlens.sources import star_tables
@@ -472,9 +473,7 @@ def related_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     contacts = inputs.contacts(spark, sf_dir)
     _, large = related.split_by_group_size(contacts, GROUP_LIMIT)
     sizes = related.shared_groups(contacts, GROUP_LIMIT + 1)
-    salted = sizes.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(related.SALTS)])))
-    keyed = large.withColumn("salt", F.pmod(F.xxhash64("entity"), F.lit(related.SALTS)).cast("int"))
-    return keyed.join(salted, ["rel", "val", "salt"]).select("entity", "rel", "val", "holders")
+    return salted_join(large, sizes, ["rel", "val"], ["entity"], "inner").select("entity", "rel", "val", "holders")
 
 
 LINKS = q.with_ctes("inv", "").rstrip() + f""", {TRADES}, {CONTACTS},

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.skew import salted_join
+
 # Adjustment codes that change what an invoice is worth.
 MONEY_ADJUSTMENT = 9
 REPLACEMENT = 3
@@ -28,8 +30,9 @@ def adjusted_amount(
 
     Only correcting invoices need their original, and most invoices have none. The
     others get one of ``SPREAD`` artificial keys instead of a shared null, so they
-    never pile up in one task; a popular original is left to adaptive skew splitting.
-    Originals are reduced to one row per id and month, so the join cannot fan out.
+    never pile up in one task. The lookup holds only originals that are asked for,
+    one row per id and month, so the join cannot fan out and is small enough to be
+    repeated per salt: an original that most invoices correct is spread as well.
     """
     code = F.col(code_col).try_cast("int")
     needs = F.coalesce(code.isin(money_code, replacement_code), F.lit(False)) & F.col("original_invoice").isNotNull()
@@ -37,23 +40,16 @@ def adjusted_amount(
     own = F.coalesce(F.col(value_col).try_cast(amount), F.lit(0).cast(amount))
     original = F.coalesce(F.col("_original_value"), F.lit(0).cast(amount))
 
-    lookup = (
-        originals.filter(F.col("invoice_id").isNotNull())
-        .groupBy(F.col("invoice_id").cast("string").alias("_original_id"), F.col("partition_month").alias("_month"))
-        .agg(F.max(F.col(value_col).try_cast(amount)).alias("_original_value"))
-    )
-    keyed = invoices.withColumn(
-        "_lookup", F.when(needs, F.col("original_invoice").cast("string")).otherwise(filler)
-    )
-    joined = keyed.join(
-        lookup,
-        (F.col("_lookup") == F.col("_original_id")) & (F.col("partition_month") == F.col("_month")),
-        "left",
+    keys = ["_lookup", "partition_month"]
+    keyed = invoices.withColumn("_lookup", F.when(needs, F.col("original_invoice").cast("string")).otherwise(filler))
+    wanted = keyed.filter(needs).select(*keys).distinct()
+    values = originals.groupBy(F.col("invoice_id").cast("string").alias("_lookup"), "partition_month").agg(
+        F.max(F.col(value_col).try_cast(amount)).alias("_original_value")
     )
+    lookup = values.join(wanted, keys, "left_semi")
+    joined = salted_join(keyed, lookup, keys, ["invoice_id", "seller", "buyer"], "left")
     worth = F.when(code == money_code, own + original).when(code == replacement_code, original).otherwise(own)
-    return joined.withColumn("adjusted_sale", worth.cast(amount)).drop(
-        "_lookup", "_original_id", "_month", "_original_value"
-    )
+    return joined.withColumn("adjusted_sale", worth.cast(amount)).drop("_lookup", "_original_value")
 
 
 def merge_on_key(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -59,8 +59,9 @@ def balance_staging(
     """Customer balance per calendar date, read at the latest working day.
 
     Customers are totalled per working day first; days off then repeat that total,
-    so a weekend costs three output rows and not three times the join. The calendar
-    is broadcast: it has one row per date of the requested range.
+    so a weekend costs three output rows and not three times the join. Equal holding
+    rows are counted before the join, so both of its sides are unique per account and
+    day but for the customer. The calendar is broadcast: one row per requested date.
     """
     lookback = dates.month_start(first, 1)
     held = holdings.filter(
@@ -69,11 +70,12 @@ def balance_staging(
         & F.col("pd_lvl_2_nm").isin(*HOLDING_PRODUCTS)
     ).select("unq_id_src_stm", F.col("ds_partition_date").cast("date").alias("latest"), "cst_code")
     held = held.filter(dates.within("latest", lookback, last))
+    held = held.groupBy(*held.columns).agg(F.count(F.lit(1)).alias("rows"))
     accounts = positive_account_days(balances.filter(dates.within("ppn_dt", lookback, last)))
     working_day = (
         held.join(accounts, ["unq_id_src_stm", "latest"])
         .groupBy(F.col("cst_code").alias("cusid"), "latest")
-        .agg((F.sum("net_amt_lcy").cast("double") * F.lit(unit)).alias("asvcd_bal"))
+        .agg((F.sum(F.col("net_amt_lcy") * F.col("rows")).cast("double") * F.lit(unit)).alias("asvcd_bal"))
     )
     calendar_days = F.broadcast(business_days(calendar, first, last))
     return working_day.join(calendar_days, "latest").select(

@@ -13,6 +13,8 @@ from ledgerlens.functions.aggregates import mean
 from ledgerlens.functions.scalars import at_least, ratio
 from ledgerlens.operators import trailing, windows
 from ledgerlens.plans import grains
+from ledgerlens.sources.invoices import CURRENT, InvoicePolicy, analysis_rows
+from ledgerlens.sources.store import materialize
 
 KEYS = ("as_of", "mst_seller")
 
@@ -214,3 +216,17 @@ def seller_features(
         *top_day_shares(),
         *unpack_month_gaps(),
     )
+
+
+def from_invoices(
+    invoices: DataFrame, run_dates: Sequence[dt.date], policy: InvoicePolicy = CURRENT
+) -> DataFrame:
+    """The feature table straight from logical invoices.
+
+    Both grains are written once before the feature groups branch off, so invoices
+    are read for each grain and never again. Runs those two writes when called.
+    """
+    rows = analysis_rows(invoices, policy)
+    grain = materialize(grains.day_grain(rows), "days")
+    partners = materialize(grains.partner_month(rows, policy.filter_pairs), "partners")
+    return seller_features(grain, partners, run_dates, night=policy.night_flag)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -25,6 +27,30 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate results survive the loss of an executor.
+
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without
+    one gets a temporary folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return folder or tempfile.mkdtemp(prefix="ledgerlens-")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several branches read, and read it back.
+
+    The branches then scan a pruned columnar file instead of repeating the work.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def overwrite_table(df: DataFrame, table: str, partition_cols: Sequence[str] = ()) -> None:
     """Replace a managed table and its schema."""
     df.write.mode("overwrite").partitionBy(*partition_cols).saveAsTable(table)
