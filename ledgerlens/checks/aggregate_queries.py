@@ -90,6 +90,34 @@ def agg_daily_to_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(grains.month_grain(inputs.daily(spark, sf_dir), top_days=()), 4)
 
 
+SQL_MONTH_COUNTS = {
+    "monthly_invoice_count",
+    "monthly_total_buyer_touches",
+    "monthly_night_invoices",
+    "monthly_active_days",
+}
+
+
+def _sql_month() -> str:
+    source = {"sum": "sum({})", "avg": "CAST(sum({0}) AS DOUBLE) / count({0})", "count": "count(DISTINCT {})"}
+    columns = ", ".join(
+        f"{source[f].format(c)} AS {n}" for n, (f, c) in grains.MONTHLY_MEASURES_SQL.items()
+    )
+    selected = typed_list(list(grains.MONTHLY_MEASURES_SQL), SQL_MONTH_COUNTS)
+    return q.with_ctes(
+        "daily",
+        f"""SELECT mst_seller, report_date, {selected} FROM (SELECT mst_seller, last_day(daily.report_date) AS
+            report_date, {columns.replace('report_date', 'daily.report_date')} FROM daily
+            GROUP BY mst_seller, last_day(daily.report_date))""",
+    )
+
+
+@query("agg_daily_to_month_sql", _sql_month())
+def agg_daily_to_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly table under the SQL reading's names and measures."""
+    return plain(grains.month_grain(inputs.daily(spark, sf_dir), grains.MONTHLY_MEASURES_SQL, top_days=()), 4)
+
+
 @query(
     "agg_month_to_period",
     q.with_ctes("change", MONTHLY_SQL),
@@ -348,7 +376,13 @@ def win_topn_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def win_topn_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = seller_features.pack_direct(inputs.recent_days(spark, sf_dir))
+    ranked = windows.ranked(
+        inputs.recent_days(spark, sf_dir), seller_features.KEYS, "daily_total_sales", "report_date", "day_rank"
+    )
+    totals = {
+        f"top{k}_days_sales": windows.sum_of_top("day_rank", k, "daily_total_sales") for k in seller_features.TOP_DAYS
+    }
+    packed = trailing.pack(ranked, seller_features.KEYS, totals, "direct")
     pairs = dates.trailing_frame(inputs.partners(spark, sf_dir), "month_start", [inputs.LAST_DAY])
     joined = packed.join(seller_features.buyer_concentration(pairs), list(seller_features.KEYS), "left")
     best = trailing.unpack("direct", [f"top{k}_days_sales" for k in seller_features.TOP_DAYS], ["l12m"])
@@ -389,7 +423,8 @@ def win_invoice_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def win_month_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = dates.trailing_frame(grains.month_grain(inputs.daily(spark, sf_dir)), "report_date", [inputs.LAST_DAY])
-    packed = seller_features.pack_monthly(months)
+    framed = windows.with_month_gap(months, ["mst_seller"], "report_date")
+    packed = trailing.pack(framed, ["mst_seller"], trailing.statistics(seller_features.MONTH_GAP), "monthly")
     return plain(packed.selectExpr("mst_seller", *seller_features.unpack_month_gaps()), 4)
 
 

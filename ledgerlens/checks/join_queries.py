@@ -12,7 +12,7 @@ from ledgerlens.checks.row_queries import TRADES, recent_trades
 from ledgerlens.functions import dates
 from ledgerlens.operators import joins, windows
 from ledgerlens.operators.skew import salted_join
-from ledgerlens.plans import balances, related
+from ledgerlens.plans import balances, grains, related
 from ledgerlens.sources import invoices as inv
 from ledgerlens.sources import star_tables
 
@@ -536,19 +536,30 @@ def agg_pair_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "join_adjusted_daily",
-    adjusted_cte(issued=True)
-    + """ SELECT seller AS mst_seller, CAST(coalesce(issue_ts, record_ts) AS DATE) AS report_date,
-                 sum(worth) AS daily_total_sales, count(*) AS daily_invoice_count,
-                 count(DISTINCT buyer) AS daily_buyer_count
-          FROM adjusted WHERE status = '1' GROUP BY ALL""",
-)
-def join_adjusted_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first generation's daily table: adjusted amounts on issue dates."""
-    from ledgerlens.plans import grains
+def _adjusted_daily_sql(issued: bool) -> str:
+    return (
+        adjusted_cte(issued=issued)
+        + """ SELECT seller AS mst_seller, CAST(coalesce(issue_ts, record_ts) AS DATE) AS report_date,
+                     sum(worth) AS daily_total_sales, count(*) AS daily_invoice_count,
+                     count(DISTINCT buyer) AS daily_buyer_count
+              FROM adjusted WHERE status = '1' GROUP BY ALL"""
+    )
+
 
-    grain = grains.day_grain(inv.analysis_rows(star_tables.order_invoices(spark, sf_dir), inv.FIRST))
+def _adjusted_daily(spark: SparkSession, sf_dir: str, policy: inv.InvoicePolicy) -> DataFrame:
+    grain = grains.day_grain(inv.analysis_rows(star_tables.order_invoices(spark, sf_dir), policy))
     return grains.daily_sellers(grain).select(
         "mst_seller", "report_date", "daily_total_sales", "daily_invoice_count", "daily_buyer_count"
     )
+
+
+@query("join_adjusted_daily", _adjusted_daily_sql(True))
+def join_adjusted_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first generation's daily table: adjusted amounts on issue dates."""
+    return _adjusted_daily(spark, sf_dir, inv.FIRST)
+
+
+@query("join_adjusted_daily_sql", _adjusted_daily_sql(False))
+def join_adjusted_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the SQL reading, where an original need not be issued."""
+    return _adjusted_daily(spark, sf_dir, inv.FIRST_SQL)

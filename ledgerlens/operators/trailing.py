@@ -14,7 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.aggregates import aggregate
+from ledgerlens.functions.aggregates import aggregate_text
 from ledgerlens.functions.dates import TRAILING_MONTHS
 
 WINDOW = "window_name"
@@ -22,7 +22,7 @@ WINDOW = "window_name"
 
 def statistics(spec: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     """``{column}_{function}`` for each column's own functions."""
-    return {f"{c}_{f}": aggregate(F.col(c), f) for c, functions in spec.items() for f in functions}
+    return {f"{c}_{f}": F.expr(aggregate_text(c, f)) for c, functions in spec.items() for f in functions}
 
 
 def repeat_per_window(df: DataFrame, months: Mapping[str, int] = TRAILING_MONTHS) -> DataFrame:

@@ -6,6 +6,7 @@ later works on their output.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,8 +59,18 @@ MONTHLY_MEASURES: dict[str, tuple[str, str]] = {
     for ending in BAND_SUFFIX.values()
 }
 
-# Monthly measures of the SQL reading, on top of the shared ones.
-MONTHLY_DISCOUNT: dict[str, tuple[str, str]] = {
+# The monthly measures of the SQL reading, under its own names.
+MONTHLY_MEASURES_SQL: dict[str, tuple[str, str]] = {
+    "monthly_total_sales": ("sum", "daily_total_sales"),
+    "monthly_invoice_count": ("sum", "daily_invoice_count"),
+    "monthly_total_buyer_touches": ("sum", "daily_buyer_count"),
+    "monthly_avg_daily_sales": ("avg", "daily_total_sales"),
+    "monthly_avg_daily_invoices": ("avg", "daily_invoice_count"),
+    "monthly_avg_daily_buyers": ("avg", "daily_buyer_count"),
+    "monthly_avg_night_ratio": ("avg", "daily_night_ratio"),
+    "monthly_avg_core_ratio": ("avg", "daily_core_ratio"),
+    "monthly_night_invoices": ("sum", "daily_night_invoice_count"),
+    "monthly_active_days": ("count", "report_date"),
     "monthly_total_discount": ("sum", "daily_total_discount"),
     "monthly_avg_discount_ratio": ("avg", "daily_discount_ratio"),
 }
@@ -288,18 +299,37 @@ def silent_days(grain: DataFrame) -> DataFrame:
     )
 
 
-def raw_monthly(grain: DataFrame, partners: DataFrame) -> DataFrame:
+def with_previous_month(months: DataFrame) -> DataFrame:
+    """The seller's previous present month and how many months ago it was."""
+    order = Window.partitionBy("mst_seller").orderBy("report_date")
+    return months.withColumn("prev_report_date", F.lag("report_date").over(order)).withColumn(
+        "mth_cnt_no_rev", F.months_between("report_date", "prev_report_date")
+    )
+
+
+def raw_monthly(grain: DataFrame, partners: DataFrame, only: Sequence[dt.date] | None = None) -> DataFrame:
     """Seller-month features that look at every invoice, for months with a known buyer.
 
-    Needs the full history of both inputs, so gaps and previous months are not cut off.
+    Both inputs hold the full history, so gaps and previous months are not cut off.
+    With ``only`` (month ends) just those months are computed: the buyer rankings then
+    read the partner rows of these months alone, and the history is touched only for
+    which days and months a seller was active in.
     """
-    base = partner_extremes(partners).join(silent_days(grain), list(SELLER_MONTH), "left")
-    order = Window.partitionBy("mst_seller").orderBy("report_date")
-    return base.withColumns(
-        {
-            "Sales_amt_per_buyer_taxcode": ratio(
-                F.col("monthly_total_sales_buyer_taxcode"), F.col("monthly_distinct_buyer_count"), None
-            ),
-            "prev_report_date": F.lag("report_date").over(order),
-        }
-    ).withColumn("mth_cnt_no_rev", F.months_between("report_date", "prev_report_date"))
+    gaps = silent_days(grain)
+    if only is None:
+        base = with_previous_month(partner_extremes(partners))
+    else:
+        wanted = F.col("report_date").isin(list(only))
+        active = partners.select("mst_seller", F.last_day("month_start").alias("report_date")).distinct()
+        starts = [day.replace(day=1) for day in only]
+        base = partner_extremes(partners.filter(F.col("month_start").isin(starts)))
+        base = base.join(with_previous_month(active).filter(wanted), list(SELLER_MONTH))
+        gaps = gaps.filter(wanted)
+    per_buyer = ratio(F.col("monthly_total_sales_buyer_taxcode"), F.col("monthly_distinct_buyer_count"), None)
+    previous = ["prev_report_date", "mth_cnt_no_rev"]
+    return base.join(gaps, list(SELLER_MONTH), "left").select(
+        *[c for c in base.columns if c not in previous],
+        *[c for c in gaps.columns if c not in SELLER_MONTH],
+        per_buyer.alias("Sales_amt_per_buyer_taxcode"),
+        *previous,
+    )

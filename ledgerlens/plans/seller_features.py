@@ -38,6 +38,7 @@ DISCOUNT = dict.fromkeys(("daily_discount_ratio", "daily_total_discount"), ("sum
 VALUE = dict.fromkeys(
     ("daily_avg_invoice_value", "daily_max_invoice_value"), ("avg", "max", "min", "std", "med", "skew")
 )
+MONTH_GAP = {"months_gap": ("sum",)}
 ACTIVITY = {"days_gap": ("avg", "max", "min", "std")}
 DIVERSITY = dict.fromkeys(("daily_distinct_payment_methods", "daily_distinct_transport"), ("avg", "max"))
 DIRECT = SALES | NIGHT | DISCOUNT | VALUE | ACTIVITY | DIVERSITY
@@ -98,7 +99,7 @@ def pack_monthly(months: DataFrame) -> DataFrame:
     ``months`` is a trailing frame of the month grain.
     """
     framed = windows.with_month_gap(grains.with_monthly_change(months, KEYS), KEYS, "report_date")
-    spec = dict.fromkeys(monthly_metrics(months), ALL_FIVE) | {"months_gap": ("sum",)}
+    spec = dict.fromkeys(monthly_metrics(months), ALL_FIVE) | MONTH_GAP
     return trailing.pack(framed, KEYS, trailing.statistics(spec), "monthly")
 
 
@@ -181,7 +182,6 @@ def seller_features(
     partners: DataFrame,
     run_dates: Sequence[dt.date],
     night: bool = False,
-    raw: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (report date, seller) for every run date, in one pass.
 
@@ -198,8 +198,7 @@ def seller_features(
     days = dates.trailing_frame(daily, "report_date", last_days)
     months = dates.trailing_frame(grains.month_grain(daily), "report_date", last_days)
     pairs = dates.trailing_frame(grains.buyer_months(partners), "month_start", last_days)
-    raw = grains.raw_monthly(grain, partners) if raw is None else raw
-    this_month = raw.filter(F.col("report_date").isin(last_days)).withColumnRenamed("report_date", "as_of")
+    this_month = grains.raw_monthly(grain, partners, last_days).withColumnRenamed("report_date", "as_of")
 
     narrow = [night_flag(months)] if night else []
     narrow += [buyer_concentration(pairs), this_month]

@@ -5,9 +5,9 @@ import datetime as dt
 import pytest
 
 from ledgerlens.plans import grains, two_phase
-from ledgerlens.plans.seller_features import seller_features
+from ledgerlens.plans.seller_features import from_invoices, seller_features
 from ledgerlens.sources import star_tables
-from ledgerlens.sources.invoices import CURRENT, SECOND, analysis_rows
+from ledgerlens.sources.invoices import CURRENT, FIRST, SECOND, analysis_rows
 from ledgerlens.sources.schema import NAMED_LAYOUT
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -65,6 +65,16 @@ def test_second_generation_has_the_night_verdict(spark):
     assert "is_night_flagged" in table.columns and len(table.columns) == 969 + 5
 
 
+def test_first_generation_looks_up_originals(spark):
+    table = from_invoices(star_tables.order_invoices(spark, SF_DIR), RUNS[1:], FIRST)
+    assert len(table.columns) == 969 + 5
+    daily = grains.daily_sellers(grains.day_grain(analysis_rows(star_tables.order_invoices(spark, SF_DIR), FIRST)))
+    year = daily.filter("report_date between date'1997-01-01' and date'1997-12-31'")
+    want = {r[0]: r[1] for r in year.groupBy("mst_seller").sum("daily_total_sales").collect()}
+    got = {r[0]: r[1] for r in table.select("mst_seller", "daily_total_sales_sum_l12m").collect()}
+    assert got == want and got
+
+
 def test_unknown_mode(spark, tables):
     with pytest.raises(ValueError, match="mode"):
         two_phase.run(spark, tables, RUNS, mode="some")
