@@ -30,6 +30,12 @@ def closed_month_key(run_date: dt.date) -> str:
     return last_closed_day(run_date).strftime("%Y%m")
 
 
+def month_keys_around(run_date: dt.date, months: int) -> list[str]:
+    """``YYYYMM`` of the closed month and of ``months`` neighbours on either side."""
+    closed = last_closed_day(run_date)
+    return [month_start(closed, back).strftime("%Y%m") for back in range(months, -months - 1, -1)]
+
+
 def month_anchor_weeks(day: dt.date, weeks: int) -> dt.date:
     """First day of ``day``'s month moved back by whole weeks (not a trailing week)."""
     return month_start(day) - dt.timedelta(weeks=weeks)

@@ -41,16 +41,18 @@ def stage(
     run_dates: Sequence[dt.date],
     policy: InvoicePolicy = CURRENT,
     layout: dict[str, str] = NAMED_LAYOUT,
+    around: int = 0,
 ) -> None:
     """Build the day and partner grains of each month a run date reports on.
 
     Each month reads only its own source partition, once: the slim typed rows are
     kept for the two grains that need them. Both tables are partitioned by month and
-    a month is replaced whole. Rows dated outside the month are left out, so a month
-    cannot overwrite another one's days with a fragment.
+    a month is replaced whole. Rows dated outside the month are left to the month
+    they are dated in, so a month cannot overwrite another one's days with a fragment;
+    ``around`` makes each month collect its rows from neighbouring source partitions.
     """
     for run_date in sorted(run_dates):
-        invoices = month_slice(to_logical(spark.table(tables.invoices), layout), run_date)
+        invoices = month_slice(to_logical(spark.table(tables.invoices), layout), run_date, around)
         rows = analysis_rows(invoices, policy).persist(StorageLevel.MEMORY_AND_DISK)
         month = [dates.closed_month_key(run_date)]
         try:
@@ -85,11 +87,12 @@ def run(
     mode: str = "all",
     policy: InvoicePolicy = CURRENT,
     layout: dict[str, str] = NAMED_LAYOUT,
+    around: int = 0,
 ) -> None:
     """``staging``, ``features``, or ``all`` for both."""
     if mode not in ("staging", "features", "all"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode != "features":
-        stage(spark, tables, run_dates, policy, layout)
+        stage(spark, tables, run_dates, policy, layout, around)
     if mode != "staging":
         build_features(spark, tables, run_dates, policy)

@@ -76,9 +76,13 @@ def event_time(df: DataFrame, policy: InvoicePolicy) -> Column:
     return F.coalesce(scalars.to_timestamp(df, "issue_ts"), scalars.to_timestamp(df, "record_ts"))
 
 
-def month_slice(df: DataFrame, run_date: dt.date) -> DataFrame:
-    """Rows of the month a run reports on, by the source's partition column."""
-    return df.filter(F.col("partition_month") == dates.closed_month_key(run_date))
+def month_slice(df: DataFrame, run_date: dt.date, around: int = 0) -> DataFrame:
+    """Rows of the month a run reports on, by the source's partition column.
+
+    ``around`` also reads that many partitions before and after, for sources whose
+    partitions hold invoices dated in a neighbouring month.
+    """
+    return df.filter(F.col("partition_month").isin(dates.month_keys_around(run_date, around)))
 
 
 def window_slice(df: DataFrame, date_col: str, run_date: dt.date, months: int = 12) -> DataFrame:

@@ -32,6 +32,16 @@ def test_run_date_arithmetic():
     assert dates.trailing_weeks(DAY(2024, 12, 31), 1) == DAY(2024, 12, 25)
 
 
+def test_month_slice_and_its_neighbours(spark):
+    df = spark.createDataFrame([("202411",), ("202412",), ("202501",), ("202502",), (None,)], "partition_month string")
+
+    def kept(around):
+        return sorted(r[0] for r in inv.month_slice(df, DAY(2025, 1, 15), around).collect())
+
+    assert kept(0) == ["202412"]
+    assert kept(1) == ["202411", "202412", "202501"]
+
+
 def test_hours_wrap_midnight(spark):
     hours = spark.range(24).select("id", scalars.in_hours(F.col("id"), 22, 6).alias("n"))
     assert {r.id for r in hours.collect() if r.n} == {22, 23, 0, 1, 2, 3, 4, 5}
