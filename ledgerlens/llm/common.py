@@ -6,8 +6,9 @@ import atexit
 import tempfile
 import uuid
 import weakref
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SCRATCH = "ledgerlens-llm"
@@ -58,5 +59,62 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Rows without an id count as documents behind all numbered ones.
+UNNUMBERED = 1 << 62
+
+
+@dataclass(frozen=True)
+class DistinctTexts:
+    """Documents with equal texts taken together.
+
+    ``rows`` has a row per document: doc_id, id, n_bytes, tag, key, owner and copies. ``id``
+    is the doc_id, or from ``UNNUMBERED`` on a number derived from the text where that is
+    null. ``nodes`` has a row per distinct text: key, id and text. ``id`` is the smallest
+    one with that text, which rows call ``owner``; ``key`` is the id too, but for all texts
+    of a repeated id after its first. ``copies`` counts the rows with the text. Texts are
+    told apart by 96 bits. ``nodes`` is hashed on the key into buckets, so that joins on
+    the key leave the texts where they are.
+    """
+
+    rows: DataFrame
+    nodes: DataFrame
+
+
+def distinct_texts(docs: DataFrame) -> DistinctTexts:
+    """Writes both tables to the shared folder. Null texts are empty."""
+    spark, n = docs.sparkSession, shuffle_partitions(docs.sparkSession)
+    tag, given = F.xxhash64("text"), F.col("doc_id").cast("long")
+    marked = texts(docs).select(
+        given.alias("doc_id"),
+        F.coalesce(given, F.shiftrightunsigned(tag, 2) + UNNUMBERED).alias("id"),
+        tag.alias("tag"),
+        F.hash("text").alias("check"),
+        "text",
+    )
+    slim = write_and_read(marked.select("doc_id", "id", "tag", "check", F.octet_length("text").cast("long").alias("n_bytes")), "marks")
+    later = F.row_number().over(Window.partitionBy("id").orderBy("tag", "check")) > 1
+    texts_of_id = slim.groupBy("id", "tag", "check").agg(F.count("*").alias("n"))
+    keyed = texts_of_id.select(
+        "id", "tag", "check", "n", F.when(later, F.shiftrightunsigned("tag", 2) + UNNUMBERED).otherwise(F.col("id")).alias("key")
+    )
+    owners = keyed.groupBy("tag", "check").agg(F.min(F.struct("id", "key")).alias("first"), F.sum("n").alias("copies"))
+    owners = write_and_read(owners.select("tag", "check", F.col("first.id").alias("owner"), F.col("first.key").alias("key"), "copies"), "owners")
+    rows = write_and_read(slim.join(owners, ["tag", "check"]), "rows")
+
+    # Of repeated rows with one id and text, one is the node.
+    nodes = (
+        marked.select("id", "tag", "check", "text")
+        .repartition(n, "id")
+        .join(owners.select(F.col("owner").alias("id"), "tag", "check", "key"), ["id", "tag", "check"])
+        .select("key", "id", "text", F.row_number().over(Window.partitionBy("id", "key").orderBy("tag")).alias("_copy"))
+        .filter("_copy = 1")
+        .drop("_copy")
+    )
+    name = f"ledgerlens_nodes_{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/nodes"
+    nodes.repartition(n, "key").write.bucketBy(n, "key").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return DistinctTexts(rows, spark.table(name))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

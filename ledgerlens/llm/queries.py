@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import common, decontaminate, language, packing, quality, token_counts, topk, toxicity
+from ledgerlens.llm import common, decontaminate, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, token_counts, topk, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,53 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.read(spark, sf_dir, "documents"))
 
 
+SUFFIX_SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    h AS (SELECT doc_id, upper(hex(b)) AS x, n FROM d),
+    w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS s
+        FROM (SELECT doc_id, x, unnest(range(0, greatest(n - 99, 0))) AS i FROM h)),
+    r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+    g AS (SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM r),
+    t AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM g),
+    c AS (SELECT doc_id, c, min(i) AS a, max(i) + 100 AS e FROM t GROUP BY doc_id, c),
+    k AS (SELECT doc_id, e AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1e15::BIGINT) AS z FROM c
+        UNION ALL SELECT doc_id, 0 AS a, min(a) AS z FROM c GROUP BY doc_id),
+    m AS (SELECT k.doc_id, string_agg(substr(h.x, 2 * k.a + 1, 2 * (least(k.z, h.n) - k.a)), '' ORDER BY k.a) AS x
+        FROM k JOIN h USING (doc_id) GROUP BY k.doc_id),
+    y AS (SELECT doc_id, sum(e - a) AS n_removed, count(*) AS n_spans FROM c GROUP BY doc_id)
+SELECT h.doc_id, CAST(h.n AS BIGINT) AS n_bytes, CAST(coalesce(y.n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(y.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(m.x, h.x))) AS kept_sha256
+FROM h LEFT JOIN y USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op3_suffix_dedup", SUFFIX_SQL)
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_earlier_strings(common.read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT r, i, array_to_string(w[i : i + 34], ' ') AS g
+        FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM d)),
+    t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS n FROM s) WHERE n > 1),
+    x AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM t),
+    k AS (SELECT d.r, w[u.k] AS word, u.k FROM (SELECT r, unnest(range(1, len(w) + 1)) AS k FROM d) u JOIN d USING (r)
+        ANTI JOIN x ON u.r = x.r AND u.k = x.k),
+    j AS (SELECT r, count(*) AS kept, string_agg(word, ' ' ORDER BY k) AS body FROM k GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN j USING (r)
+"""
+
+
+@query("op4_substring_dedup", SUBSTRING_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeated_windows(common.read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -99,6 +146,29 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(common.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT r, array_to_string(w[i : i + 4], ' ') AS g
+        FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    o AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+    e AS (SELECT a, b FROM o JOIN n x ON o.a = x.r JOIN n y ON o.b = y.r WHERE 100 * o >= 75 * (x.n + y.n - o)),
+    u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    c AS (SELECT r AS a, r AS b FROM d UNION SELECT c.a, u.b FROM c JOIN u ON c.b = u.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, t.component_id
+FROM d LEFT JOIN n USING (r)
+    JOIN (SELECT c.a AS r, min(k.doc_id) AS component_id FROM c JOIN d k ON c.b = k.r GROUP BY c.a) t USING (r)
+"""
+
+
+@query("op7_ngram_jaccard_join", JACCARD_SQL)
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(common.read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")
