@@ -13,6 +13,9 @@ thousands. Full-length pieces are sequences already and are not dealt.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +25,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -29,7 +33,7 @@ from tokenizers import Tokenizer
 from ledgerlens.llm import common
 
 #: Cached words of one Python worker; the cache starts anew beyond it.
-WORD_CACHE = 200_000
+WORD_CACHE = 500_000
 
 PIECES = "doc_id bigint, row_no int, piece int, start long, length long, ids_crc32 long"
 
@@ -55,18 +59,60 @@ class Capacity:
         )
 
 
+# How the vocabulary's own file splits text; fixed values.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"[\x21-\x7E\xA1-\xFF]*")
+
+
+def _bytes(ids: list[int]) -> bytes:
+    """Unsigned 32-bit numbers, little end first."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the
+    letters from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordIds(dict):
     """Token ids of a word as little-endian bytes. Words end at a blank or line break,
-    where every pre-token of the vocabulary ends too, so a text's ids are its words' ids."""
+    where every pre-token of the vocabulary ends too, so a text's ids are its words' ids.
+
+    If the tokenizer lower-cases and splits as expected, a word of printable Latin letters
+    and signs is split here, and its parts, which recur more often, go to the tokenizer's
+    model one by one. All other words are encoded whole.
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        made = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.known = kinds == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in made["added_tokens"]) or "(?!)")
+        self.split = regex.compile(_SPLIT)
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        if len(self.parts) >= WORD_CACHE:
+            self.parts.clear()
+        text = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        self.parts[part] = ids = _bytes([t.id for t in self.model.tokenize(text)])
+        return ids
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORD_CACHE:
             self.clear()
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.known and _PLAIN.fullmatch(word) and not self.special.search(word):
+            ids = b"".join([self.parts.get(p) or self._part(p) for p in self.split.findall(word.lower())])
+        else:
+            ids = _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
