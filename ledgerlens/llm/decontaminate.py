@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,6 +124,39 @@ def _scan(shared, window: int):
     return run
 
 
+def _holds(shared, window: int):
+    def run(text: pd.Series) -> pd.Series:
+        automaton = _automaton(shared.value, window)
+        return text.map(lambda t: bool(scan(t, automaton)[3]))
+
+    return run
+
+
+def hit_flag(docs: DataFrame, benchmark: DataFrame, column: str, window: int = 10) -> DataFrame:
+    """``docs`` with a flag: whether the text holds a pattern of the benchmark. All columns,
+    repeated rows and null texts (which hold none) pass through."""
+    flag = F.lit(False)
+    for items in item_blocks(benchmark):
+        has = _holds(docs.sparkSession.sparkContext.broadcast(items), window)
+        flag = flag | F.pandas_udf(has, "boolean")(F.coalesce(F.col("text"), F.lit("")))
+    return docs.withColumn(column, flag)
+
+
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """(id, text) of distinct items, in blocks of about ``BLOCK_BYTES``; one at least."""
+    items = (
+        benchmark.filter(F.col("text").isNotNull())
+        .select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
+        .distinct()
+    )
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    for b in range(blocks):
+        taken = items.filter(block == b).orderBy("item_id", "text").collect()  # about BLOCK_BYTES
+        yield [(r["item_id"], r["text"]) for r in taken]
+
+
 FOUND = "doc_id long, n_words long, runs array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>, items array<string>"
 
 
@@ -136,21 +170,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> D
     hits are joined per document, which then needs distinct ids.
     """
     spark = docs.sparkSession
-    items = (
-        benchmark.filter(F.col("text").isNotNull())
-        .select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
-        .distinct()
-    )
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-size // BLOCK_BYTES))
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     parts = []
-    for b in range(blocks):
-        taken = items.filter(block == b).orderBy("item_id", "text").collect()  # about BLOCK_BYTES
-        shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in taken])
+    for items in item_blocks(benchmark):
+        shared = spark.sparkContext.broadcast(items)
         parts.append(rows.mapInArrow(_scan(shared, window), FOUND))
-    if blocks == 1:
+    if len(parts) == 1:
         return parts[0]
     everything = parts[0]
     for part in parts[1:]:
