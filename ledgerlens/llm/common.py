@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 import weakref
+import zipfile
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,20 @@ from pyspark.sql import functions as F
 SCRATCH = "ledgerlens-llm"
 
 
+def ship(spark: SparkSession) -> None:
+    """Hands this subpackage to the executors, once per context, as --py-files would."""
+    context = spark.sparkContext
+    if any(name.startswith(f"{SCRATCH}-code") for name in map(os.path.basename, context._python_includes)):
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix=f"{SCRATCH}-")) / f"{SCRATCH}-code-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(target, "w") as packed:
+        packed.writestr("ledgerlens/__init__.py", "")
+        for source in sorted(here.glob("*.py")):
+            packed.write(source, f"ledgerlens/{here.name}/{source.name}")
+    context.addPyFile(str(target))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -13,7 +13,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            common.ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function

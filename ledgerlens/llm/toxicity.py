@@ -53,6 +53,8 @@ SAMPLE_ROWS = 8_000
 CANDIDATES = 20_000
 #: Labelled texts an entry must occur in, and those it must explain best.
 SUPPORT, EXPLAINED = 3, 2
+#: How far below the heaviest entry of a text, in logarithms, another one explains it too.
+NEAR_HEAVIEST = math.log(4.0)
 #: An entry is at least so many times as frequent in toxic texts.
 LIFT = 8.0
 STEMS = (3, 4, 5, 6)
@@ -136,15 +138,20 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _best_pattern(weights: dict[str, float]):
-    """The candidate that explains each toxic text best: the heaviest, then the most specific."""
+    """The candidates that explain each toxic text: of each word the heaviest, then most
+    specific pattern, if it is about as heavy as the text's heaviest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = []
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                held = [p for p in _patterns(set(fold_text(text).split())) if p in weights]
-                if held:
-                    best.append(max(held, key=lambda p: (weights[p], p.endswith(" "), len(p), p)))
+                held = set()
+                for word in set(fold_text(text).split()):
+                    of_word = [p for p in _patterns({word}) if p in weights]
+                    if of_word:
+                        held.add(max(of_word, key=lambda p: (weights[p], p.endswith(" "), len(p))))
+                heaviest = max((weights[p] for p in held), default=0.0)
+                best += [p for p in held if weights[p] >= heaviest - NEAR_HEAVIEST]
         yield pa.RecordBatch.from_arrays([pa.array(best, pa.string())], ["pattern"])
 
     return run
