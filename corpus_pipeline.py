@@ -68,12 +68,21 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def _shipped(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("ngram_jaccard_join", drop_near_duplicates),
-    ("suffix_dedup", cut_repeated_strings),
-    ("decontamination", drop_contaminated),
-    ("best_fit_packing", pack_sequences),
+    ("toxicity", _shipped(drop_toxic)),
+    ("ngram_jaccard_join", _shipped(drop_near_duplicates)),
+    ("suffix_dedup", _shipped(cut_repeated_strings)),
+    ("decontamination", _shipped(drop_contaminated)),
+    ("best_fit_packing", _shipped(pack_sequences)),
 ]
 
 
