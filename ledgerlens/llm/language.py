@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import common
 
 #: Documents of each language that classifiers are fitted on, about, and of all at most.
-SAMPLE_OF_LANGUAGE, SAMPLE_ROWS = 1_000, 20_000
+SAMPLE_OF_LANGUAGE, SAMPLE_ROWS = 400, 20_000
 GRAMS = 1 << 12
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -84,22 +84,22 @@ class Coder:
         return order[:, 0], first, first - second
 
 
-def fit(x: np.ndarray, y: np.ndarray, languages: tuple[str, ...], steps: int = 300) -> Coder:
+def fit(x: np.ndarray, y: np.ndarray, languages: tuple[str, ...], steps: int = 120) -> Coder:
     """Logistic classifiers for all bits at once; classes weigh the same."""
     code = code_matrix(len(languages))
-    target = code[y]
+    target = code[y].astype(np.float32)
     weight = (1.0 / np.bincount(y, minlength=len(languages)).clip(1))[y][:, None]
-    weight = weight / weight.sum()
-    w, b = np.zeros((x.shape[1], code.shape[1])), np.zeros(code.shape[1])
+    weight = (weight / weight.sum()).astype(np.float32)
+    w, b = np.zeros((x.shape[1], code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     mw, mb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
         margin = x @ (w + 0.9 * mw) + b + 0.9 * mb
         g = -weight * target / (1 + np.exp(np.clip(target * margin, -30, 30)))
-        mw, mb = 0.9 * mw - 8.0 * (x.T @ g + 1e-5 * w), 0.9 * mb - 8.0 * g.sum(axis=0)
+        mw, mb = 0.9 * mw - 8.0 * (g.T @ x).T - 8e-5 * w, 0.9 * mb - 8.0 * g.sum(axis=0)
         w, b = w + mw, b + mb
     error = (weight * ((x @ w + b) * target <= 0)).sum(axis=0)
     trust = np.clip(np.log((1 - error + 1e-3) / (error + 1e-3)), 0.05, None)
-    return Coder(languages, code, w.astype(np.float32), b, trust / max(trust.sum(), 1e-12) * len(trust))
+    return Coder(languages, code, w, b, trust / max(trust.sum(), 1e-12) * len(trust))
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
