@@ -12,7 +12,11 @@ from ledgerlens.llm import common, decontaminate, jaccard_join, packing, suffix_
 #: Stages learn, match and pack, which SQL cannot express.
 ORACLE_SQL = None
 
-_TAG: Column = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+def _same_text() -> Column:
+    """A document against an id and a text's tag."""
+    tag = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (tag == F.col("_tag"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = jaccard_join.near_duplicates(docs)
     stays = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), (F.col("n_shingles") == 0).alias("_empty"))
     stays = stays.groupBy("_id", "_tag").agg(F.max("_empty").alias("_empty"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_TAG == F.col("_tag"))
     # Repeated rows of a kept text are numbered; rows that differ elsewhere in a fixed order.
     number = F.row_number().over(common.Window.partitionBy("_id", "_tag").orderBy(*(F.col(c) for c in docs.columns if c != "text")))
-    kept = docs.join(stays, same).withColumn("_number", number).filter("_empty or _number = 1")
+    kept = docs.join(stays, _same_text()).withColumn("_number", number).filter("_empty or _number = 1")
     return kept.select(*docs.columns)
 
 
@@ -43,8 +46,7 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = suffix_dedup.remove_earlier_strings(docs, with_text=True)
     cut = found.filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("kept").alias("_kept"))
     cut = cut.groupBy("_id", "_tag").agg(F.min("_kept").alias("_kept"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_TAG == F.col("_tag"))
-    joined = docs.join(cut, same, "left")
+    joined = docs.join(cut, _same_text(), "left")
     text = F.coalesce(F.col("_kept"), F.col("text"))
     size = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")) if "n_chars" in docs.columns else None
     return joined.select(
