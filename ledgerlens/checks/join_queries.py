@@ -11,7 +11,6 @@ from ledgerlens.checks.registry import plain, query, snap, snap_sql
 from ledgerlens.checks.row_queries import TRADES, recent_trades
 from ledgerlens.functions import dates
 from ledgerlens.operators import joins, windows
-from ledgerlens.operators.skew import salted_join
 from ledgerlens.plans import balances, grains, related
 from ledgerlens.sources import invoices as inv
 from ledgerlens.sources import star_tables
@@ -121,13 +120,15 @@ def join_feature_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "join_anti_no_sale_days",
-    """SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d
-       FROM orders WHERE o_orderstatus = 'P') WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders
-       WHERE o_orderstatus = 'P')""",
+    q.with_ctes("typed", "").rstrip()
+    + """, span AS (SELECT mst_seller, min(report_date) AS a, max(report_date) AS z FROM typed GROUP BY ALL)
+       SELECT mst_seller, CAST(d AS DATE) AS day
+       FROM (SELECT mst_seller, unnest(generate_series(a, z, INTERVAL 1 DAY)) AS d FROM span) s
+       WHERE NOT EXISTS (SELECT 1 FROM typed t WHERE t.mst_seller = s.mst_seller AND t.report_date = CAST(s.d AS DATE))""",
 )
 def join_anti_no_sale_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = star_tables.read(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
-    return joins.days_without(orders.select(F.to_date("o_orderdate").alias("day")), "day")
+    days = inputs.typed(spark, sf_dir).select("mst_seller", F.col("report_date").alias("day"))
+    return joins.days_without(days, "day", ["mst_seller"])
 
 
 @query(
@@ -425,55 +426,29 @@ def contacts_iddoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of_kind(spark, sf_dir, "Trùng Số giấy tờ người đại diện")
 
 
-GROUP_LIMIT = 40
-PAIRS = f"""sizes AS (SELECT rel, val, count(*) AS n FROM contacts GROUP BY ALL),
-    small AS (SELECT c.* FROM contacts c JOIN sizes USING (rel, val) WHERE n <= {GROUP_LIMIT}),
-    listed AS (SELECT DISTINCT x.entity AS a, y.entity AS b FROM small x JOIN small y USING (rel, val)
-               WHERE x.entity < y.entity),
-    proof AS (SELECT l.a, l.b, x.rel, x.val FROM listed l JOIN contacts x ON x.entity = l.a
-              JOIN contacts y ON y.entity = l.b AND y.rel = x.rel AND y.val = x.val),
-    pairs AS (SELECT a, b, string_agg(rel, ', ' ORDER BY rel) AS relationship,
-                     string_agg('{{' || rel || ': ' || vals || '}}', ', ' ORDER BY rel) AS relationship_detail
-              FROM (SELECT a, b, rel, string_agg(val, ', ' ORDER BY val) AS vals FROM proof GROUP BY ALL) GROUP BY ALL)"""
+# A report of widely shared values starts at so many holders.
+WIDELY_SHARED = 41
+SIZES = "sizes AS (SELECT rel, val, count(*) AS holders FROM contacts GROUP BY ALL)"
 
 
 @query(
     "join_entities_on_value",
-    f"""WITH {CONTACTS}, {PAIRS} SELECT rel, val, x.entity AS a, y.entity AS b
-        FROM small x JOIN small y USING (rel, val) WHERE x.entity < y.entity""",
+    f"""WITH {CONTACTS}, {SIZES} SELECT rel, val, entity, holders FROM contacts JOIN sizes USING (rel, val)
+        WHERE holders >= 2""",
 )
 def join_entities_on_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small, _ = related.split_by_group_size(inputs.contacts(spark, sf_dir), GROUP_LIMIT)
-    return related.pairs_on_value(small)
-
-
-@query("pair_generation", f"WITH {CONTACTS}, {PAIRS} SELECT a, b FROM listed")
-def pair_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small, _ = related.split_by_group_size(inputs.contacts(spark, sf_dir), GROUP_LIMIT)
-    return related.pairs_on_value(small).select("a", "b").distinct()
-
-
-@query("related_pairs", f"WITH {CONTACTS}, {PAIRS} SELECT * FROM pairs")
-def related_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return related.related_pairs(inputs.contacts(spark, sf_dir), GROUP_LIMIT)
-
-
-@query("related_detail_text", f"WITH {CONTACTS}, {PAIRS} SELECT a, b, relationship_detail FROM pairs")
-def related_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return related.related_pairs(inputs.contacts(spark, sf_dir), GROUP_LIMIT).select("a", "b", "relationship_detail")
+    """All relations: every holder of every shared value."""
+    return related.shared_members(inputs.contacts(spark, sf_dir))
 
 
 @query(
     "related_large_groups",
-    f"""WITH {CONTACTS}, {PAIRS} SELECT c.entity, rel, val, n AS holders FROM contacts c JOIN sizes USING (rel, val)
-        WHERE n > {GROUP_LIMIT}""",
+    f"""WITH {CONTACTS}, {SIZES} SELECT rel, val, entity, holders FROM contacts JOIN sizes USING (rel, val)
+        WHERE holders >= {WIDELY_SHARED}""",
 )
 def related_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The relations that are kept as groups: every member of every large group."""
-    contacts = inputs.contacts(spark, sf_dir)
-    _, large = related.split_by_group_size(contacts, GROUP_LIMIT)
-    sizes = related.shared_groups(contacts, GROUP_LIMIT + 1)
-    return salted_join(large, sizes, ["rel", "val"], ["entity"], "inner").select("entity", "rel", "val", "holders")
+    """Switchboards and the like: members of the values that very many share."""
+    return related.shared_members(inputs.contacts(spark, sf_dir), WIDELY_SHARED)
 
 
 LINKS = q.with_ctes("inv", "").rstrip() + f""", {TRADES}, {CONTACTS},
@@ -489,6 +464,37 @@ LINKS = q.with_ctes("inv", "").rstrip() + f""", {TRADES}, {CONTACTS},
               FROM trades LEFT JOIN told USING (issuer, buyer) GROUP BY ALL)"""
 
 
+PAIRS = (
+    LINKS
+    + """, traded AS (SELECT DISTINCT least(issuer, buyer) AS a, greatest(issuer, buyer) AS b FROM trades),
+    proof AS (SELECT t.a, t.b, x.rel, x.val FROM traded t JOIN contacts x ON x.entity = t.a
+              JOIN contacts y ON y.entity = t.b AND y.rel = x.rel AND y.val = x.val),
+    pairs AS (SELECT a, b, string_agg(rel, ', ' ORDER BY rel) AS relationship,
+                     string_agg('{' || rel || ': ' || vals || '}', ', ' ORDER BY rel) AS relationship_detail
+              FROM (SELECT a, b, rel, string_agg(val, ', ' ORDER BY val) AS vals FROM proof GROUP BY ALL) GROUP BY ALL)"""
+)
+
+
+def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return related.trading_relations(recent_trades(spark, sf_dir), inputs.contacts(spark, sf_dir))
+
+
+@query("pair_generation", PAIRS + " SELECT DISTINCT a, b FROM proof")
+def pair_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    traded = related.trading_pairs(recent_trades(spark, sf_dir))
+    return related.evidence(traded, inputs.contacts(spark, sf_dir)).select("a", "b").distinct()
+
+
+@query("related_pairs", PAIRS + " SELECT * FROM pairs")
+def related_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _relations(spark, sf_dir)
+
+
+@query("related_detail_text", PAIRS + " SELECT a, b, relationship_detail FROM pairs")
+def related_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _relations(spark, sf_dir).select("a", "b", "relationship_detail")
+
+
 def links(spark: SparkSession, sf_dir: str) -> related.RevenueLinks:
     rows = recent_trades(spark, sf_dir)
     return related.revenue_links(rows, related.trading_relations(rows, inputs.contacts(spark, sf_dir)))

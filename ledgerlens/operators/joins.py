@@ -6,8 +6,9 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
-from ledgerlens.operators.skew import salted_join
+from ledgerlens.operators.skew import ROWS_PER_TASK, spread_join
 
 # Adjustment codes that change what an invoice is worth.
 MONEY_ADJUSTMENT = 9
@@ -24,6 +25,7 @@ def adjusted_amount(
     money_code: int = MONEY_ADJUSTMENT,
     replacement_code: int = REPLACEMENT,
     value_col: str = "with_vat_foreign",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``adjusted_sale``: own amount plus the original's for a money adjustment,
     the original's for a replacement, else the own amount. Missing amounts are zero.
@@ -31,8 +33,8 @@ def adjusted_amount(
     Only correcting invoices need their original, and most invoices have none. The
     others get one of ``SPREAD`` artificial keys instead of a shared null, so they
     never pile up in one task. The lookup holds only originals that are asked for,
-    one row per id and month, so the join cannot fan out and is small enough to be
-    repeated per salt: an original that most invoices correct is spread as well.
+    one row per id and month, so the join cannot fan out. An original that very many
+    invoices correct is spread over tasks; the others are not copied.
     """
     code = F.col(code_col).try_cast("int")
     needs = F.coalesce(code.isin(money_code, replacement_code), F.lit(False)) & F.col("original_invoice").isNotNull()
@@ -47,7 +49,7 @@ def adjusted_amount(
         F.max(F.col(value_col).try_cast(amount)).alias("_original_value")
     )
     lookup = values.join(wanted, keys, "left_semi")
-    joined = salted_join(keyed, lookup, keys, ["invoice_id", "seller", "buyer"], "left")
+    joined = spread_join(keyed, lookup, keys, ["invoice_id", "seller", "buyer"], "left", rows_per_task)
     worth = F.when(code == money_code, own + original).when(code == replacement_code, original).otherwise(own)
     return joined.withColumn("adjusted_sale", worth.cast(amount)).drop("_lookup", "_original_value")
 
@@ -56,13 +58,20 @@ def merge_on_key(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer join of frames that are each unique on ``keys``, with one shuffle.
 
     Stacking the frames and regrouping replaces a chain of outer joins; every value
-    column comes from one frame, so its only non-null value is the maximum.
+    column comes from one frame, so its only non-null value is the maximum. A frame that
+    holds a key twice makes the query fail with the key, as one value would be lost.
     """
-    stacked = frames[0]
-    for frame in frames[1:]:
+    marks = [f"_in_{i}" for i in range(len(frames))]
+    marked = [frame.withColumn(mark, F.lit(1)) for frame, mark in zip(frames, marks, strict=True)]
+    stacked = marked[0]
+    for frame in marked[1:]:
         stacked = stacked.unionByName(frame, allowMissingColumns=True)
-    values = [c for c in stacked.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+    values = [c for c in stacked.columns if c not in keys and c not in marks]
+    merged = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values], *[F.sum(m).alias(m) for m in marks])
+    most = F.greatest(*[F.coalesce(m, F.lit(0)) for m in marks], F.lit(0))
+    which = F.concat(F.lit("key held twice: "), F.to_json(F.struct(*keys)))
+    checked = F.when(most > 1, F.raise_error(which)).otherwise(F.col(keys[0]))
+    return merged.withColumn(keys[0], checked.cast(merged.schema[keys[0]].dataType)).drop(*marks)
 
 
 def recent_months(df: DataFrame, month_col: str, count: int) -> DataFrame:
@@ -71,22 +80,25 @@ def recent_months(df: DataFrame, month_col: str, count: int) -> DataFrame:
     return df.join(F.broadcast(kept), month_col, "left_semi")  # at most `count` rows
 
 
-def days_without(df: DataFrame, date_col: str) -> DataFrame:
-    """Dates between the first and last date in the data that have no row."""
-    span = df.agg(F.min(date_col).alias("first"), F.max(date_col).alias("last"))
-    spine = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias(date_col))
-    return spine.join(df.select(date_col).distinct(), date_col, "left_anti")
+def days_without(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Dates between the first and last date in the data, per key, that have no row."""
+    days = df.select(*keys, date_col).distinct()
+    span = days.groupBy(*keys).agg(F.min(date_col).alias("first"), F.max(date_col).alias("last"))
+    spine = span.filter(F.col("first").isNotNull()).select(*keys, F.explode(F.sequence("first", "last")).alias(date_col))
+    return spine.join(days, [*keys, date_col], "left_anti")
 
 
 def latest_business_day(calendar: DataFrame, date_col: str = "date_code", off_col: str = "off_date") -> DataFrame:
     """``latest``: for every calendar date, the last working day on or before it.
 
-    The window has no partition key because the calendar is the whole data: one row
-    per date of a bounded range.
+    A date that the calendar lists twice is one date, a working day if one of its rows
+    says so. The window has no partition key because the calendar is the whole data: one
+    row per date of a bounded range.
     """
+    dated = calendar.groupBy(date_col).agg(F.min(off_col).alias(off_col))
     working = F.when(~F.col(off_col), F.col(date_col))
     so_far = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return calendar.select(date_col, F.last(working, ignorenulls=True).over(so_far).alias("latest"))
+    return dated.select(date_col, F.last(working, ignorenulls=True).over(so_far).alias("latest"))
 
 
 def canonical_pair(left: Column, right: Column, names: tuple[str, str] = ("a", "b")) -> list[Column]:
@@ -94,36 +106,26 @@ def canonical_pair(left: Column, right: Column, names: tuple[str, str] = ("a", "
     return [F.least(left, right).alias(names[0]), F.greatest(left, right).alias(names[1])]
 
 
-class TooManyValues(ValueError):
-    """A dimension is too large to be attached to every entity."""
+def _dates(df: DataFrame, column: str) -> Column:
+    """All distinct dates of a column as one array, which the calendar bounds."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, DateType):
+        raise TypeError(f"{column} is {kind.simpleString()}; only dates are attached to every entity")
+    values = df.filter(F.col(column).isNotNull()).select(column).distinct()
+    return values.agg(F.array_sort(F.collect_list(column)).alias("v")).scalar()
 
 
-def _dimension(df: DataFrame, column: str, limit: int) -> Column:
-    """All distinct values of a small dimension as one array; errors beyond ``limit``."""
-    values = df.filter(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1)
-    packed = values.agg(F.array_sort(F.collect_list(column)).alias("v")).scalar()
-    message = f"{column} has more than {limit} distinct values"
-    return F.when(F.size(packed) <= limit, packed).otherwise(F.raise_error(F.lit(message)))
-
-
-def densify(
-    df: DataFrame,
-    columns: Sequence[str],
-    fill: float = 0,
-    entities: DataFrame | None = None,
-    limit: int = 20_000,
-) -> DataFrame:
+def densify(df: DataFrame, columns: Sequence[str], fill: float = 0, entities: DataFrame | None = None) -> DataFrame:
     """One row per combination of the distinct values of ``columns``; gaps are filled.
 
-    The first column is the entity and may be of any size. The others are dimensions
-    such as dates: each is packed into one array that entities expand locally, so no
-    cross join runs. A dimension beyond ``limit`` values raises instead of being cut.
-    With ``entities`` the entity side is taken from there.
+    The first column is the entity and may be of any size. The others are dates, whose
+    number the calendar bounds: each is packed into one array that entities expand
+    locally, so no cross join runs. With ``entities`` the entity side is taken from there.
     """
     heads = columns[:1] if entities is None else entities.columns
     full = (df if entities is None else entities).select(*heads).distinct()
     for column in columns[len(heads) :]:
-        full = full.withColumn(column, F.explode(_dimension(df, column, limit)))
+        full = full.withColumn(column, F.explode(_dates(df, column)))
     return full.join(df, list(columns), "left").na.fill(fill)
 
 

@@ -1,4 +1,4 @@
-"""Keeping one dominant key from landing in one task."""
+"""Keeping a dominant key from landing in one task."""
 
 from __future__ import annotations
 
@@ -7,19 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
-_SALT = "_salt"
+#: Rows of one key that a task takes before the key is spread over several.
+ROWS_PER_TASK = 1_000_000
+#: Heavy keys that are looked up at most. Beyond, keys are joined plainly.
+HEAVY_KEYS = 10_000
+_SALT, _PARTS = "_salt", "_parts"
 
 
-def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str, salts: int = SALTS
+def heavy_keys(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and over how many parts to spread them.
+
+    Counts combine before the shuffle, and at most ``HEAVY_KEYS`` of them, the largest,
+    are returned, so the table may be broadcast whatever the size of the data.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    largest = counts.orderBy(F.desc("_n"), *on).limit(HEAVY_KEYS)
+    return largest.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(_PARTS))
+
+
+def spread_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Equi join whose left side may have a dominant key.
+    """Equi join whose left side may have dominant keys.
 
-    Left rows get one of ``salts`` values from ``spread_by`` (columns that differ
-    between rows of the dominant key); right rows are repeated for every salt. The
-    result is that of the plain join for inner, left, semi and anti joins.
+    Only the rows of a heavy key get salts, as many as its count asks for, from
+    ``spread_by`` (columns that differ between them), and only its right rows are
+    repeated. All other keys join as they are. The result is that of the plain join for
+    inner, left, semi and anti joins.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    repeated = small.withColumn(_SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return big.withColumn(_SALT, salt).join(repeated, [*on, _SALT], how).drop(_SALT)
+    heavy = F.broadcast(heavy_keys(big, on, rows_per_task))
+    salt = F.when(F.col(_PARTS).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), F.col(_PARTS)).cast("int"))
+    salted = big.join(heavy, list(on), "left").withColumn(_SALT, salt).drop(_PARTS)
+    parts = F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)
+    repeated = small.join(heavy, list(on), "left").withColumn(_SALT, F.explode(parts)).drop(_PARTS)
+    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)

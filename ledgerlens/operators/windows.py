@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalars import ratio
 
 
-def ranked(df: DataFrame, keys: Sequence[str], metric: str, tie: str, name: str) -> DataFrame:
-    """Add the rank by falling ``metric``; ``tie`` makes it deterministic."""
-    order = Window.partitionBy(*keys).orderBy(F.desc(metric), F.asc(tie))
+def ranked(df: DataFrame, keys: Sequence[str], metric: str, tie: str, name: str, largest: bool = True) -> DataFrame:
+    """Add the rank by falling (or rising) ``metric``; ``tie`` makes it deterministic."""
+    order = Window.partitionBy(*keys).orderBy(F.desc(metric) if largest else F.asc(metric), F.asc(tie))
     return df.withColumn(name, F.row_number().over(order))
 
 
-def top_rows(df: DataFrame, keys: Sequence[str], metric: str, tie: str, k: int, rank: str = "rank") -> DataFrame:
-    """The ``k`` rows of each group with the largest metric."""
-    return ranked(df, keys, metric, tie, rank).filter(F.col(rank) <= k)
+def top_rows(
+    df: DataFrame, keys: Sequence[str], metric: str, tie: str, k: int, rank: str = "rank", largest: bool = True
+) -> DataFrame:
+    """The ``k`` rows of each group with the largest (or smallest) metric."""
+    return ranked(df, keys, metric, tie, rank, largest).filter(F.col(rank) <= k)
 
 
 def sum_of_top(rank: str, k: int, value: str) -> Column:
@@ -82,9 +84,9 @@ def largest_gap(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataF
 def at_extreme(df: DataFrame, metric: str, largest: bool = True) -> DataFrame:
     """Rows whose metric equals the overall maximum (or minimum); ties are kept.
 
-    The extreme is one row, so the comparison is a one-row broadcast semi join
-    instead of a global sort.
+    The metric is evaluated once and ranked. Every task passes on only its own rows of
+    rank one, so the last step sees few rows. Null metrics take no part.
     """
-    extreme = F.max(metric) if largest else F.min(metric)
-    best = df.agg(extreme.alias(metric))
-    return df.join(F.broadcast(best), metric, "left_semi")
+    order = F.desc(metric) if largest else F.asc(metric)
+    known = df.filter(F.col(metric).isNotNull())
+    return known.withColumn("_rank", F.rank().over(Window.orderBy(order))).filter("_rank = 1").drop("_rank")

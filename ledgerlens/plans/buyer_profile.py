@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.aggregates import count_if, distinct_counts
 from ledgerlens.functions.scalars import clean_key, safe_divide
+from ledgerlens.operators import windows
 from ledgerlens.operators.joins import adjusted_amount
 from ledgerlens.sources.invoices import is_issued
 
@@ -23,37 +25,50 @@ STATUS_REPLACED = 3
 def attribute_modes(invoices: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """Distinct values and the most frequent value of each attribute.
 
-    All attributes are counted together as (attribute, value) rows; the mode is a
-    ``min_by`` over the counts, which combines before the shuffle. Equal counts go to
-    the smaller value.
+    All attributes are counted together as (attribute, value) rows. The mode is the first
+    row of a ranking that Spark cuts before the shuffle. Equal counts go to the smaller value.
     """
     entry = [F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in attributes]
     counted = (
         invoices.select(*PERIOD_BUYER, "invoice_id", F.explode(F.array(*entry)).alias("e"))
         .filter(F.col("e.value").isNotNull())
-        .groupBy(*PERIOD_BUYER, "e.attribute", "e.value")
+        .select(*PERIOD_BUYER, "invoice_id", "e.attribute", "e.value")
+        .groupBy(*PERIOD_BUYER, "attribute", "value")
         .agg(F.count_distinct("invoice_id").alias("n"))
     )
-    order = F.struct((-F.col("n")).alias("n"), F.col("value"))
-    aggregates = []
-    for name in attributes:
-        mine = F.col("attribute") == name
-        aggregates += [
-            F.count(F.when(mine, F.lit(1))).alias(f"count_{name}"),
-            F.min_by("value", F.when(mine, order)).alias(f"most_freq_{name}"),
-        ]
-    return counted.groupBy(*PERIOD_BUYER).agg(*aggregates)
-
-
-def buyer_ratios(invoices: DataFrame) -> DataFrame:
-    """Sales, counts and the ratios between them; needs ``adjusted_sale``."""
-    totals = invoices.groupBy(*PERIOD_BUYER).agg(
-        F.sum("adjusted_sale").alias("total_sales"),
-        F.count_distinct("buyer_name").alias("number_of_buyer"),
-        F.count_distinct("invoice_id").alias("number_of_invoice"),
-        F.count_distinct("items").alias("number_of_sold_item"),
-        F.sum("settlement_discount").alias("total_discount"),
+    of_attribute = {name: F.col("attribute") == name for name in attributes}
+    counts = counted.groupBy(*PERIOD_BUYER).agg(*[count_if(mine).alias(f"count_{n}") for n, mine in of_attribute.items()])
+    modes = (
+        windows.top_rows(counted, [*PERIOD_BUYER, "attribute"], "n", "value", 1)
+        .groupBy(*PERIOD_BUYER)
+        .pivot("attribute", list(attributes))
+        .agg(F.first("value"))
     )
+    named = modes.select(*PERIOD_BUYER, *[F.col(n).alias(f"most_freq_{n}") for n in attributes])
+    return counts.join(named, list(PERIOD_BUYER), "left").select(
+        *PERIOD_BUYER, *[c for n in attributes for c in (f"count_{n}", f"most_freq_{n}")]
+    )
+
+
+def buyer_ratios(invoices: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Sales, counts and the ratios between them; ``invoices`` needs ``adjusted_sale``.
+
+    ``counted`` holds the same invoices, where they can be read without their amounts.
+    """
+    sums = invoices.groupBy(*PERIOD_BUYER).agg(
+        F.sum("adjusted_sale").alias("total_sales"), F.sum("settlement_discount").alias("total_discount")
+    )
+    counts = distinct_counts(
+        invoices if counted is None else counted,
+        PERIOD_BUYER,
+        {
+            "number_of_buyer": F.col("buyer_name"),
+            "number_of_invoice": F.col("invoice_id"),
+            "number_of_sold_item": F.col("items"),
+        },
+    )
+    totals = sums.join(counts, list(PERIOD_BUYER), "left").na.fill(0, subset=counts.columns[2:])
+    totals = totals.select(*PERIOD_BUYER, "total_sales", *counts.columns[2:], "total_discount")
     pairs = {
         "total_sales_per_number_buyer": ("total_sales", "number_of_buyer"),
         "total_sales_per_number_invoice": ("total_sales", "number_of_invoice"),
@@ -66,10 +81,18 @@ def buyer_ratios(invoices: DataFrame) -> DataFrame:
 
 
 def buyer_profile(invoices: DataFrame, amount: str = "double") -> DataFrame:
-    """Ratios and modes of every issued invoice, per period and buyer."""
+    """Ratios and modes of every issued invoice, per period and buyer.
+
+    Counts and modes need no adjusted amount, so only the sums read the looked-up rows.
+    """
+    issued = _known(invoices.filter(is_issued()))
     adjusted = adjusted_amount(
         invoices, invoices, amount, code_col="adjust_status", money_code=STATUS_MONEY, replacement_code=STATUS_REPLACED
     )
-    issued = adjusted.filter(is_issued()).withColumn("buyer", clean_key(F.col("buyer")))
-    keyed = issued.filter(F.col("buyer").isNotNull() & F.col("partition_month").isNotNull())
-    return buyer_ratios(keyed).join(attribute_modes(keyed), list(PERIOD_BUYER), "left")
+    ratios = buyer_ratios(_known(adjusted.filter(is_issued())), issued)
+    return ratios.join(attribute_modes(issued), list(PERIOD_BUYER), "left")
+
+
+def _known(invoices: DataFrame) -> DataFrame:
+    keyed = invoices.withColumn("buyer", clean_key(F.col("buyer")))
+    return keyed.filter(F.col("buyer").isNotNull() & F.col("partition_month").isNotNull())

@@ -80,5 +80,4 @@ def revenue_concentration(
                 "share_of_days"
             ),
         )
-        .orderBy(*month_keys)
     )

@@ -214,26 +214,27 @@ def with_monthly_change(months: DataFrame, keys: Sequence[str] = ("mst_seller",)
 def partner_extremes(partners: DataFrame) -> DataFrame:
     """Per seller-month: buyer totals, most and least frequent buyer, top buyers.
 
-    Frequency extremes are ``max_by`` / ``min_by`` aggregates, so they combine before
-    the shuffle; ties go to the smaller buyer id. The best three buyers come from a
-    ranked filter that is applied before the shuffle too.
+    All rankings are filters on a row number, which Spark applies before the shuffle as
+    well; ties go to the smaller buyer id.
     """
     months = partners.withColumn("report_date", F.last_day("month_start"))
     sold = F.col("inv_cnt") > 0
-    record = F.when(sold, F.struct("inv_cnt", "sales_amt", "disc_amt"))
-    rarest = F.when(sold, F.struct("inv_cnt", "mst_buyer"))
-    commonest = F.when(sold, F.struct((-F.col("inv_cnt")).alias("inv_cnt"), F.col("mst_buyer")))
     totals = months.groupBy(*SELLER_MONTH).agg(
         F.sum("buyer_monthly_discount").alias("monthly_total_discount_buyer_taxcode"),
         F.count(F.lit(1)).alias("monthly_distinct_buyer_count"),
         F.sum("buyer_monthly_sales").alias("monthly_total_sales_buyer_taxcode"),
         F.sum("sales_amt").alias("monthly_sales_amt"),
-        F.min_by(record, commonest).alias("most"),
-        F.min_by(record, rarest).alias("least"),
     )
+    traded = months.filter(sold).select(*SELLER_MONTH, "mst_buyer", "inv_cnt", "sales_amt", "disc_amt")
+
+    def frequent(name: str, largest: bool) -> DataFrame:
+        one = windows.top_rows(traded, SELLER_MONTH, "inv_cnt", "mst_buyer", 1, largest=largest)
+        return one.select(*SELLER_MONTH, F.struct("inv_cnt", "sales_amt", "disc_amt").alias(name))
+
+    most, least = frequent("most", True), frequent("least", False)
     best = (
         windows.top_rows(
-            months.filter(sold).select(*SELLER_MONTH, "mst_buyer", "sales_amt"),
+            traded.select(*SELLER_MONTH, "mst_buyer", "sales_amt"),
             SELLER_MONTH,
             "sales_amt",
             "mst_buyer",
@@ -251,7 +252,8 @@ def partner_extremes(partners: DataFrame) -> DataFrame:
     def per_trade(who: str) -> Column:
         return F.col(f"{who}.sales_amt").cast("double") / F.col(f"{who}.inv_cnt")
 
-    return totals.join(best, list(SELLER_MONTH), "left").select(
+    keys = list(SELLER_MONTH)
+    return totals.join(best, keys, "left").join(most, keys, "left").join(least, keys, "left").select(
         *SELLER_MONTH,
         "monthly_total_discount_buyer_taxcode",
         "monthly_distinct_buyer_count",

@@ -104,6 +104,6 @@ def night_sales(
         )
     )
     return (
-        verdict.orderBy(F.desc("is_flagged"), F.desc("qualified_months_count_12m"), "issuer"),
-        monthly.orderBy("issuer", "month_start"),
+        verdict,
+        monthly,
     )

@@ -61,9 +61,14 @@ def cards(spark):
     return spark.createDataFrame(CARDS, "entity string, phone string, email string, doc string")
 
 
-def found(spark, **options):
+def every_pair(spark):
+    names = sorted({c[0].strip() for c in CARDS if c[0]})
+    return spark.createDataFrame([(a, b) for a in names for b in names if a < b], "a string, b string")
+
+
+def found(spark):
     held = contacts.contact_values(cards(spark), "entity", ["phone", "absent"], ["email"], ["doc"])
-    rows = related.related_pairs(held, **options).collect()
+    rows = related.related_pairs(every_pair(spark), held).collect()
     return {(r.a, r.b): (r.relationship, r.relationship_detail) for r in rows}
 
 
@@ -79,23 +84,24 @@ ALL_PAIRS = {
 
 
 def test_related_pairs(spark):
-    assert found(spark, max_group=None) == ALL_PAIRS
-    assert found(spark, max_group=10) == ALL_PAIRS
+    assert found(spark) == ALL_PAIRS
 
 
-def test_large_group_stays_a_group_but_keeps_its_evidence(spark):
-    pairs = found(spark, max_group=2)
-    assert pairs == {k: v for k, v in ALL_PAIRS.items() if k != ("2", "3")}
+def test_every_member_of_every_group_is_listed_once(spark):
     held = contacts.contact_values(cards(spark), "entity", ["phone"], ["email"], ["doc"])
-    _, large = related.split_by_group_size(held, 2)
-    assert {(r.entity, r.val) for r in large.collect()} == {(e, "0912345678") for e in "123"}
+    members = [(r.val, r.entity, r.holders) for r in related.shared_members(held).collect()]
+    assert len(members) == len(set(members))
+    assert {m for m in members if m[0] == "0912345678"} == {("0912345678", e, 3) for e in "123"}
+    listed = {(a, b) for v, a, _ in members for w, b, _ in members if v == w and a < b}
+    assert listed == set(ALL_PAIRS)
+    assert {r.val for r in related.shared_members(held, 3).collect()} == {"0912345678"}
     asked = spark.createDataFrame([("2", "3"), ("1", "4")], "a string, b string")
     assert [(r.a, r.b, r.val) for r in related.evidence(asked, held).collect()] == [("2", "3", "0912345678")]
 
 
 def test_published_report_round_trip(spark):
     held = contacts.contact_values(cards(spark), "entity", ["phone"], ["email"], ["doc"])
-    report = related.published(related.related_pairs(held))
+    report = related.published(related.related_pairs(every_pair(spark), held))
     assert report.columns == list(related.REPORT_COLUMNS.values())
     swapped = report.select(
         F.col("`Mã số thuế bên liên quan`").alias("x"), F.col("`Mã số thuế đơn vị`").alias("y"), *report.columns[2:]
@@ -131,7 +137,7 @@ def test_revenue_links(spark):
         ("1", "4", "2025-02-01"),
         ("2", "1", "2026-02-01"),
     }
-    same = related.revenue_links(traded, related.from_published(related.published(related.related_pairs(held))))
+    same = related.revenue_links(traded, related.from_published(related.published(related.related_pairs(every_pair(spark), held))))
     assert sorted(same.pairs.collect()) == sorted(links.pairs.collect())
     own = related.trades(invoices, now="2026-02-28 23:59:59", include_self=True)
     assert own.filter("issuer = buyer").count() == 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from ledgerlens.checks import inputs
 from ledgerlens.operators import joins
-from ledgerlens.operators.skew import salted_join
+from ledgerlens.operators.skew import heavy_keys, spread_join
 from ledgerlens.plans import grains, seller_features
 from ledgerlens.sources import star_tables
 
@@ -27,7 +27,8 @@ def test_top_k_does_not_sort_everything(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(queries()["join_anti_no_sale_days"](spark, SF_DIR))
+    orders = star_tables.read(spark, SF_DIR, "orders").filter("o_orderstatus = 'P'")
+    text = plan(joins.days_without(orders.select(F.to_date("o_orderdate").alias("day")), "day"))
     assert "EqualTo(o_orderstatus,P)" in text
     assert "ReadSchema: struct<o_orderstatus:string,o_orderdate:timestamp_ntz>" in text
 
@@ -56,13 +57,38 @@ def test_feature_groups_share_one_layout(spark, tmp_path):
     assert plan(table).count("Exchange hashpartitioning") == 1
 
 
-def test_salted_join_is_the_plain_join(spark):
+def test_spread_join_is_the_plain_join(spark):
     big = spark.range(2000).select((F.col("id") % 7).alias("k"), "id").withColumn("k", F.when(F.col("id") % 3 != 0, F.col("k")).otherwise(0))
     small = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     for how in ("inner", "left", "left_semi", "left_anti"):
-        salted = salted_join(big, small, ["k"], ["id"], how)
+        salted = spread_join(big, small, ["k"], ["id"], how, rows_per_task=100)
         want = big.join(small, ["k"], how)
         assert sorted(map(str, salted.collect())) == sorted(map(str, want.collect()))
+    assert {r["k"]: r["_parts"] for r in heavy_keys(big, ["k"], 500).collect()} == {0: 2}
+
+
+def test_only_heavy_keys_are_copied(spark):
+    """The spread of a key follows its count; light keys stay single."""
+    big = spark.range(4000).select(F.when(F.col("id") % 4 != 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
+    small = big.select("k").distinct().withColumn("v", F.lit(1))
+    copies = small.join(heavy_keys(big, ["k"], 100), "k", "left").select(F.coalesce("_parts", F.lit(1)).alias("n"))
+    assert copies.agg(F.sum("n")).first()[0] == small.count() - 1 + 30
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = spread_join(big, small, ["k"], ["id"], "inner", rows_per_task=100)
+        tasks = joined.filter("k = -1").select(F.spark_partition_id()).distinct().count()
+        assert joined.count() == 4000 and tasks > 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_extremes_are_cut_before_the_last_task(spark):
+    text = plan(queries()["agg_argmax_ties"](spark, SF_DIR))
+    assert text.index("WindowGroupLimit") != text.rindex("WindowGroupLimit")
 
 
 def test_a_dominant_key_is_spread(spark):
@@ -80,7 +106,7 @@ def test_a_dominant_key_is_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
-        adjusted = joins.adjusted_amount(rows, rows)
+        adjusted = joins.adjusted_amount(rows, rows, rows_per_task=100)
         sizes = [r["count"] for r in adjusted.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         assert sum(sizes) == 3000 and max(sizes) < 1000
         assert adjusted.agg(F.sum("adjusted_sale")).first()[0] == 4000.0
