@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -71,6 +72,15 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs that nothing refers to any more.
+
+    Spark does so when the driver collects its garbage, which may be long after.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """The columns an operator reads, under its own names; a null text is empty."""
     return docs.select("doc_id", *more, F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -130,6 +140,8 @@ def distinct_texts(docs: DataFrame) -> DistinctTexts:
     name = f"ledgerlens_nodes_{uuid.uuid4().hex}"
     path = f"{scratch_folder(spark)}/nodes"
     nodes.repartition(n, "key").write.bucketBy(n, "key").option("path", path).option("compression", "zstd").saveAsTable(name)
+    del nodes
+    release(spark)
     return DistinctTexts(rows, spark.table(name))
 
 

@@ -9,9 +9,10 @@ between the two is the size at which the summed cost is smallest.
 Three things keep groups of copies cheap without losing a link:
 
 - Equal texts are one node from the start.
-- Sets are first gathered by a few min-wise shingles and compared with the leaders of their
-  gathering only. Those links are real; most of each group is connected by them.
-- Lists then only yield pairs whose sets are not connected yet. Each such pair is verified.
+- Sets are first gathered by a few of their least shingles and compared within a gathering
+  of bounded size. Those links are real; most of each group is connected by them.
+- Lists then only yield sets and labels of components that may link but are not connected
+  yet. Each such set is compared with all sets of that component.
 
 The order "rare first" comes from a bounded table of frequent shingles. Any order that all
 sets share gives the same result.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
@@ -32,9 +33,9 @@ from ledgerlens.llm.components import components
 from ledgerlens.llm.shingles import mix, shingle_set
 
 #: Frequent shingles in the order table at most, and how often a task must see one.
-FREQUENT, FREQUENT_IN_TASK = 1 << 16, 6
-#: Min-wise shingles that a set is gathered by, and sets that one gathering compares.
-GATHERINGS, GATHERED = 3, 500
+FREQUENT, FREQUENT_IN_TASK = 1 << 19, 2
+#: Least shingles of a set that it is gathered by, and sets that one gathering compares.
+GATHERINGS, GATHERED = 4, 500
 #: Cost of scanning a list entry against that of making a subset.
 SCAN_COST = 4.0
 #: Sizes told apart in the cost table.
@@ -47,17 +48,19 @@ def needed(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    if not len(a) or not len(b):
+        return False
+    at = np.searchsorted(b, a)
+    both = int((b[at.clip(max=len(b) - 1)] == a).sum())
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 class RareFirst:
     """Orders shingles by known frequency, then by value."""
 
-    def __init__(self, table: list[tuple[int, int]]) -> None:
-        self.keys = np.array([k for k, _ in table], dtype=np.int64).view(np.uint64)
-        order = np.argsort(self.keys)
-        self.keys, self.counts = self.keys[order], np.array([n for _, n in table], dtype=np.int64)[order]
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray) -> None:
+        order = np.argsort(shingles)
+        self.keys, self.counts = shingles[order], counts[order]
 
     def frequency(self, shingles: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -69,83 +72,118 @@ class RareFirst:
         return shingles[np.lexsort((shingles, self.frequency(shingles)))]
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that recur within the task, with the number of sets that hold them."""
-    values, counts, waiting, held = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+#: What one look at every set leaves: its size, its least shingles, frequent shingles.
+SIZE, SIGN, FREQUENCY = 0, 1, 2
+LOOK = "kind int, id long, value long"
 
-    def settle() -> None:
-        nonlocal values, counts, waiting, held
-        if waiting:
-            v, n = np.unique(np.concatenate(waiting), return_counts=True)
-            v, n = np.r_[values, v[n > 1]], np.r_[counts, n[n > 1]]
-            values, at = np.unique(v, return_inverse=True)
-            counts = np.bincount(at, weights=n, minlength=len(values)).astype(np.int64)
-            if len(values) > 4 * FREQUENT:
-                top = np.argsort(-counts, kind="stable")[:FREQUENT]
-                values, counts = values[top], counts[top]
-            waiting, held = [], 0
 
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            waiting.append(shingle_set(text))
-            held += len(waiting[-1])
-            if held > 2_000_000:
-                settle()
-    settle()
-    kept = counts >= FREQUENT_IN_TASK
-    yield pa.RecordBatch.from_arrays([pa.array(values[kept].view(np.int64)), pa.array(counts[kept])], ["shingle", "n"])
+class _Counts:
+    """Shingles that recur within a task, counted in chunks of bounded size."""
 
+    def __init__(self) -> None:
+        self.values, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
 
-def _gatherings(table):
-    """The least shingles of a set under different orders, frequent ones left out, with the
-    size of the set."""
+    def add(self, shingles: np.ndarray) -> None:
+        self.waiting.append(shingles)
+        self.held += len(shingles)
+        if self.held > 4_000_000:
+            self.settle()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = RareFirst(table.value)
-        for batch in batches:
-            ids, signs, sizes = [], [], []
-            for node, text in zip(*(batch.column(k).to_pylist() for k in ("id", "text")), strict=True):
-                s = shingle_set(text)
-                few = s[rare.frequency(s) == 0] if len(s) else s
-                few = few if len(few) else s
-                found = {int((mix(few + np.uint64(k * 7919 + 1)) + np.uint64(k)).min().view(np.int64)) for k in range(GATHERINGS)} if len(s) else set()
-                ids += [node] * (len(found) or 1)
-                signs += sorted(found) or [None]
-                sizes += [len(s)] * (len(found) or 1)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, signs, sizes)], ["id", "sign", "n"])
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        v, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        again = (n > 1) | np.isin(v, self.values, assume_unique=True)
+        v, n = np.r_[self.values, v[again]], np.r_[self.counts, n[again]]
+        self.values, at = np.unique(v, return_inverse=True)
+        self.counts = np.bincount(at, weights=n, minlength=len(self.values)).astype(np.int64)
+        if len(self.values) > 4 * FREQUENT:
+            top = np.sort(np.argsort(-self.counts, kind="stable")[:FREQUENT])
+            self.values, self.counts = self.values[top], self.counts[top]
+        self.waiting, self.held = [], 0
 
-    return run
 
+def _looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``LOOK``: (SIZE, id, size), (SIGN, id, shingle), (FREQUENCY, sets, shingle)."""
+
+    def rows(kind: int, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids), pa.array(values)], ["kind", "id", "value"]
+        )
 
-def follow_leaders(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between each set and the first leader it links with; a set without one leads.
+    seen = _Counts()
+    for batch in batches:
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        least, sizes = [], []
+        for text in batch.column("text").to_pylist():
+            s = shingle_set(text)
+            seen.add(s)
+            least.append(s[:GATHERINGS].view(np.int64))
+            sizes.append(len(s))
+        yield rows(SIZE, ids, np.array(sizes, dtype=np.int64))
+        yield rows(SIGN, np.repeat(ids, [len(x) for x in least]), np.concatenate([np.empty(0, np.int64), *least]))
+    seen.settle()
+    kept = seen.counts >= FREQUENT_IN_TASK
+    yield rows(FREQUENCY, seen.counts[kept], seen.values[kept].view(np.int64))
 
-    Overlaps with all leaders come from scanning the lists of the set's shingles.
+
+#: Shingles whose membership in a block of sets is laid out at once.
+COLUMNS = 4_096
+#: Members of a label on one list from which on they count as a block.
+BLOCK = 8
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``left`` with every set of ``right``.
+
+    Shingles that both sides hold are numbered; their lists are scanned a block of
+    shingles at a time, as products of membership matrices.
     """
-    lists: dict[int, list[int]] = {}
-    leaders: list[int] = []
-    edges = []
-    for i in sorted(range(len(ids)), key=lambda i: (-len(sets[i]), ids[i])):
-        overlap: dict[int, int] = {}
-        keys = sets[i].tolist()
-        for key in keys:
-            for leader in lists.get(key, ()):
-                overlap[leader] = overlap.get(leader, 0) + 1
-        for leader, both in overlap.items():
-            if 100 * both >= percent * (len(keys) + len(sets[leader]) - both):
-                edges.append((ids[leader], ids[i]))
-                break
-        else:
-            leaders.append(i)
-            for key in keys:
-                lists.setdefault(key, []).append(i)
-    return edges
+    a, b = (np.concatenate([np.empty(0, np.uint64), *side]) for side in (left, right))
+    common_shingles = np.intersect1d(a, b)
+    sizes = np.zeros((len(left), len(right)), dtype=np.float32)
+    places = []
+    for values, side in ((a, left), (b, right)):
+        owner = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        at = np.searchsorted(common_shingles, values).clip(max=max(len(common_shingles) - 1, 0))
+        held = common_shingles[at] == values if len(common_shingles) else np.zeros(len(values), bool)
+        order = np.argsort(at[held], kind="stable")
+        places.append((owner[held][order], at[held][order]))
+    for start in range(0, len(common_shingles), COLUMNS):
+        blocks = []
+        for (owner, at), side in zip(places, (left, right), strict=True):
+            lo, hi = np.searchsorted(at, (start, start + COLUMNS))
+            block = np.zeros((len(side), COLUMNS), dtype=np.float32)
+            block[owner[lo:hi], at[lo:hi] - start] = 1.0
+            blocks.append(block)
+        sizes += blocks[0] @ blocks[1].T
+    return sizes.astype(np.int64)
+
+
+def link_matrix(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    both = overlaps(left, right)
+    union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - both
+    return (both > 0) & (100 * both >= percent * union)
+
+
+def connect(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """An edge from the least id of each component among the sets to every other one."""
+    links = link_matrix(sets, sets, percent)
+    np.fill_diagonal(links, True)
+    least = np.array(ids, dtype=np.int64)
+    while True:
+        spread = np.where(links, least[None, :], np.iinfo(np.int64).max).min(axis=1)
+        if (spread == least).all():
+            return [(int(a), int(b)) for a, b in zip(least, ids, strict=True) if a != b]
+        least = spread
 
 
 def _gathered(percent: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         first = frame.drop_duplicates(["id", "text"])
-        edges = follow_leaders(first["id"].tolist(), [shingle_set(t) for t in first["text"]], percent)
+        edges = connect(first["id"].to_numpy(), [shingle_set(t) for t in first["text"]], percent) if len(first) > 1 else []
         return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return run
@@ -169,7 +207,7 @@ def _listed(table, light: int, percent: int):
     be among its partners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = RareFirst(table.value)
+        rare = RareFirst(*table.value)
         for batch in batches:
             signs, lengths, places, sizes = [], [], [], []
             labels = batch.column("label").to_pylist()
@@ -208,7 +246,7 @@ def _listed(table, light: int, percent: int):
 
 
 def pairs_of_lists(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs on a common list with different labels that size and place allow to link.
+    """Rows of pairs on a common list with different labels that size and place allow to link.
 
     Lists of subsets have odd signs. Two light sets on an even one meet on odd ones, too.
 
@@ -216,17 +254,11 @@ def pairs_of_lists(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.n
     large, and larger steps have fewer entries left to look at.
     """
     order = np.lexsort((ids, n, sign))
-    sign, ids, label, n, place = (x[order] for x in (sign, ids, label, n, place))
-    many = np.r_[False, sign[1:] == sign[:-1]] if len(sign) else np.empty(0, bool)
-    starts = np.flatnonzero(~many)
-    if len(starts):  # only lists that hold several labels
-        low, high = np.minimum.reduceat(label, starts), np.maximum.reduceat(label, starts)
-        mixed = np.repeat(low != high, np.diff(np.r_[starts, len(sign)]))
-        sign, ids, label, n, place = (x[mixed] for x in (sign, ids, label, n, place))
-    at, step, found = np.arange(len(sign)), 1, [(np.empty(0, np.int64), np.empty(0, np.int64))]
-    n, place = n.astype(np.int64), place.astype(np.int64)
+    at, step = np.arange(len(order)), 1
+    sign, label, n, place = sign[order], label[order], n[order].astype(np.int64), place[order].astype(np.int64)
+    found = [(at[:0], at[:0])]
     while len(at):
-        at = at[at + step < len(sign)]
+        at = at[at + step < len(order)]
         to = at + step
         near = (sign[at] == sign[to]) & (100 * n[at] >= percent * n[to])
         at, to = at[near], to[near]
@@ -236,34 +268,99 @@ def pairs_of_lists(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.n
         twice = (sign[at] & 1 == 0) & (n[at] >= 2) & (n[to] <= light)
         ok = (label[at] != label[to]) & (reach >= both) & ~twice
         if ok.any():
-            a, b = ids[at[ok]], ids[to[ok]]
-            found.append((np.minimum(a, b), np.maximum(a, b)))
+            found.append((order[at[ok]], order[to[ok]]))
         step += 1
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
-def _paired(light: int, percent: int):
+def candidates(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray, light: int, percent: int) -> np.ndarray:
+    """Distinct (id, label): sets that must be compared with all sets of another label.
+
+    A label with many entries on a list is one block there: each other entry of the list
+    is a candidate for it. Entries outside such blocks are looked at in pairs.
+    """
+    # Only lists that hold several labels matter.
+    order = np.lexsort((label, sign))
+    sign, ids, label, n, place = (x[order] for x in (sign, ids, label, n, place))
+    if not len(sign):
+        return np.empty((0, 2), np.int64)
+    starts = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
+    length = np.diff(np.r_[starts, len(sign)])
+    mixed = np.repeat(label[starts] != label[starts + length - 1], length)
+    sign, ids, label, n, place = (x[mixed] for x in (sign, ids, label, n, place))
+    if not len(sign):
+        return np.empty((0, 2), np.int64)
+    # Entries of one label on one list, and the largest such group of each list.
+    groups = np.flatnonzero(np.r_[True, (sign[1:] != sign[:-1]) | (label[1:] != label[:-1])])
+    members = np.diff(np.r_[groups, len(sign)])
+    by_list = np.lexsort((-members, sign[groups]))
+    top = by_list[np.r_[True, np.diff(sign[groups][by_list]) != 0]]
+    of_list = np.cumsum(np.r_[True, sign[1:] != sign[:-1]]) - 1
+    block = members[top] >= BLOCK
+    main = label[groups[top]][of_list]
+    outside = ~block[of_list] | (label != main)
+    against = outside & block[of_list]
+    found = [np.stack([ids[against], main[against]], axis=1)]
+    kept = np.flatnonzero(outside)
+    a, b = pairs_of_lists(sign[kept], ids[kept], label[kept], n[kept], place[kept], light, percent)
+    a, b = kept[a], kept[b]
+    # The one with the larger label is compared with the label of the other.
+    x, y = np.where(label[a] > label[b], a, b), np.where(label[a] > label[b], b, a)
+    found.append(np.stack([ids[x], label[y]], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _candidates(light: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)] for batch in batches]
         if parts:
-            a, b = pairs_of_lists(*(np.concatenate(column) for column in zip(*parts, strict=True)), light, percent)
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+            pairs = candidates(*(np.concatenate(column) for column in zip(*parts, strict=True)), light, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["id", "other"])
 
     return run
 
 
 def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets: dict[str, np.ndarray] = {}
-            get = lambda t: sets[t] if t in sets else sets.setdefault(t, shingle_set(t))  # noqa: B023, E731
-            ok = [linked(get(x), get(y), percent) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    """Links between sets that ask and sets of the label; one per set that asks is enough."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        first = frame.drop_duplicates(["id", "asks", "text"])
+        asking, held = first[first["asks"]], first[~first["asks"]]
+        edges = []
+        if len(asking) and len(held):
+            left, right = ([shingle_set(t) for t in side["text"]] for side in (asking, held))
+            links = link_matrix(left, right, percent)
+            has = links.any(axis=1)
+            edges = list(zip(asking["id"].to_numpy()[has], held["id"].to_numpy()[links.argmax(axis=1)[has]], strict=True))
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _compared(labelled: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
+    """Edges between the sets of ``wanted`` (id, other) and sets of the label ``other``.
+
+    Both sides of a label are dealt out by GATHERED sets; every deal of the one meets every
+    deal of the other.
+    """
+    asked = wanted.groupBy("other").agg(F.ceil(F.count("*") / GATHERED).cast("int").alias("asking"))
+    sizes = labelled.groupBy(F.col("label").alias("other")).agg(F.ceil(F.count("*") / GATHERED).cast("int").alias("holding"))
+    deals = common.write_and_read(asked.join(sizes, "other"), "deals")
+
+    def one(parts: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+
+    def each(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    asking = wanted.join(deals, "other").select("id", "other", "holding", one("asking").alias("deal"))
+    asking = asking.select("id", "other", "deal", each("holding").alias("part"))
+    asking = labelled.select("id", "text").join(asking, "id").select("other", "deal", "part", F.lit(True).alias("asks"), "id", "text")
+    holding = labelled.withColumnRenamed("label", "other").join(deals, "other").select("id", "text", "other", "asking", one("holding").alias("part"))
+    holding = holding.select("other", each("asking").alias("deal"), "part", F.lit(False).alias("asks"), "id", "text")
+    return asking.unionByName(holding).groupBy("other", "deal", "part").applyInPandas(_verified(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Per row of ``docs``: doc_id, tag (of the text), n_shingles, component_id and kept.
 
@@ -279,23 +376,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = common.distinct_texts(docs)
     nodes = texts.nodes.select(F.col("key").alias("id"), "text")
 
+    looks = common.write_and_read(nodes.mapInArrow(_looked, LOOK), "looks")
+    signs, sizes = (looks.filter(F.col("kind") == k).select("id", "value") for k in (SIGN, SIZE))
     frequent = (
-        nodes.select("text")
-        .mapInArrow(_frequent, "shingle long, n long")
-        .groupBy("shingle")
-        .agg(F.sum("n").alias("n"))
+        looks.filter(F.col("kind") == FREQUENCY)
+        .groupBy(F.col("value").alias("shingle"))
+        .agg(F.sum("id").alias("n"))
         .orderBy(F.desc("n"), "shingle")
         .limit(FREQUENT)
     )
-    table = spark.sparkContext.broadcast([(r["shingle"], r["n"]) for r in frequent.collect()])
-
-    signs = common.write_and_read(nodes.mapInArrow(_gatherings(table), "id long, sign long, n long"), "signs")
-    sizes = signs.filter(F.col("n") <= SIZES).groupBy("n").agg((F.count("*") / GATHERINGS).alias("sets"))
-    light = boundary({r["n"]: r["sets"] for r in sizes.collect()}, percent)
+    known = frequent.toArrow()  # at most FREQUENT rows of two numbers
+    shingles, counts = (known.column(c).to_numpy() for c in ("shingle", "n"))
+    table = spark.sparkContext.broadcast((shingles.view(np.uint64), counts))
+    small = sizes.filter(F.col("value") <= SIZES).groupBy("value").agg(F.count("*").alias("sets"))
+    light = boundary({r["value"]: r["sets"] for r in small.collect()}, percent)
 
+    chosen = signs.withColumnRenamed("value", "sign")
     # A gathering of more sets than GATHERED is dealt out; the lists below find the rest.
-    several = signs.filter("sign is not null").groupBy("sign").agg(F.count("*").alias("members")).filter("members > 1")
-    met = signs.select("id", "sign").join(several, "sign").withColumn("deal", F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / GATHERED)))
+    several = chosen.groupBy("sign").agg(F.count("*").alias("members")).filter("members > 1")
+    met = chosen.join(several, "sign").withColumn("deal", F.pmod(F.xxhash64("id", "sign"), F.ceil(F.col("members") / GATHERED)))
     gathered = (
         nodes.join(met, "id")
         .select("id", "text", "sign", "deal")
@@ -303,24 +402,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         .applyInPandas(_gathered(percent), "a long, b long")
     )
     first = common.write_and_read(gathered.distinct(), "links")
+    common.release(spark)
     joined = components(first)
 
     labelled = nodes.join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "text")
     listed = labelled.mapInArrow(_listed(table, light, percent), "sign long, id long, label long, n int, place int")
-    pairs = (
+    wanted = (
         listed.repartition(common.shuffle_partitions(spark), "sign")
-        .mapInArrow(_paired(light, percent), "a long, b long")
+        .mapInArrow(_candidates(light, percent), "id long, other long")
         .distinct()
     )
-    text_of = nodes.select("id", "text")
-    second = (
-        pairs.join(text_of.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(text_of.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        .mapInArrow(_verified(percent), "a long, b long")
-    )
+    wanted = common.write_and_read(wanted, "candidates")
+    common.release(spark)
+    second = _compared(labelled, wanted, percent)
 
     # A document whose text is the node of another key is linked with it, if it has words.
-    size = signs.groupBy(F.col("id").alias("key")).agg(F.max("n").alias("n_shingles"))
+    size = sizes.select(F.col("id").alias("key"), F.col("value").alias("n_shingles"))
     rows = texts.rows.join(size, "key")
     copies = rows.filter("id <> key and n_shingles > 0").select(F.col("id").alias("a"), F.col("key").alias("b"))
     found = components(first.union(second).union(copies))

@@ -91,6 +91,7 @@ def candidate_runs(nodes: DataFrame, units: Units, window: int, sub: int) -> Dat
     )
     # Written, so that the join below has two plain inputs and can split a frequent anchor.
     repeated = common.write_and_read(repeated, "anchors")
+    common.release(nodes.sparkSession)
     placed = nodes.select("key", "text").mapInArrow(_placed(units, window, sub), RUNS).join(repeated, "anchor")
     runs = placed.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("runs"))
     return nodes.join(runs, "key")

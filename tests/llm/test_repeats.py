@@ -169,7 +169,7 @@ def test_lists_yield_exactly_the_pairs_that_can_link():
     assert wanted
 
     class Table:
-        value = [(int(base[3].view(np.int64)), 50)]
+        value = (base[3:4], np.array([50]))
 
     import pyarrow as pa
 
@@ -181,8 +181,24 @@ def test_lists_yield_exactly_the_pairs_that_can_link():
             (out,) = listed(iter([batch]))
         finally:
             jaccard_join.shingle_set = kept
-        a, b = jaccard_join.pairs_of_lists(*(out.column(k).to_numpy() for k in range(5)), light, 75)
-        assert wanted <= set(zip(a.tolist(), b.tolist(), strict=True)), light
+        columns = [out.column(k).to_numpy() for k in range(5)]
+        found = {frozenset(map(int, p)) for p in jaccard_join.candidates(*columns, light, 75)}
+        assert {frozenset(p) for p in wanted} <= found, light
+        # Labels of several sets are named as a whole.
+        columns[2] = columns[1] % 3
+        named = {tuple(map(int, p)) for p in jaccard_join.candidates(*columns, light, 75)}
+        assert all(a % 3 == b % 3 or (a, b % 3) in named or (b, a % 3) in named for a, b in wanted)
+
+
+def test_overlaps_and_components_of_a_block(monkeypatch):
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 60, draw.integers(0, 40)).astype(np.uint64)) for _ in range(50)]
+    for columns in (7, 4096):
+        monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+        got = jaccard_join.overlaps(sets[:20], sets[10:])
+        assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[10:]] for a in sets[:20]]
+    chain = [np.arange(k, k + 20).astype(np.uint64) for k in range(0, 10, 2)] + [np.arange(100, 110).astype(np.uint64)]
+    assert jaccard_join.connect(np.array([9, 4, 7, 5, 6, 1]), chain, 75) == [(4, 9), (4, 7), (4, 5), (4, 6)]
 
 
 def test_no_documents(spark):
