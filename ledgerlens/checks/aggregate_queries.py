@@ -23,7 +23,7 @@ from ledgerlens.checks.registry import plain, query, snap_sql
 from ledgerlens.functions import dates
 from ledgerlens.functions.aggregates import over_windows, regression_over_windows
 from ledgerlens.operators import trailing, windows
-from ledgerlens.plans import buyer_profile, concentration, grains, night, sales_reports, seller_features
+from ledgerlens.plans import buyer_profile, concentration, grains, night, sales_reports, seller_features, two_phase
 from ledgerlens.sources import star_tables
 
 DAILY_COUNTS = [
@@ -68,6 +68,27 @@ def agg_daily_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(inputs.daily(spark, sf_dir), 4, {"daily_std_invoice_value"})
 
 
+STAGED_MONTHS = ["199711", "199712"]
+
+
+@query(
+    "staged_day_grain",
+    q.with_ctes(
+        "daily",
+        f"""SELECT mst_seller, report_date, strftime(report_date, '%Y%m') AS stage_month,
+                   {typed_list(DAILY_COUNTS, set(DAILY_COUNTS))}, {typed_list(DAILY_EXACT, snapped=None)}
+            FROM daily WHERE strftime(report_date, '%Y%m') IN ('199711', '199712')""",
+    ),
+)
+def staged_day_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged days of two months, whose rows came in partitions of any month."""
+    typed = inputs.typed(spark, sf_dir)
+    source = F.date_format(F.add_months("report_date", F.pmod(F.xxhash64("mst_buyer", "hour"), F.lit(7)).cast("int") - 3), "yyyyMM")
+    days, _ = two_phase.grains_of_months(two_phase.rows_by_month(typed, source), STAGED_MONTHS)
+    daily = grains.daily_sellers(days)
+    return plain(daily.select("mst_seller", "report_date", "stage_month", *DAILY_COUNTS, *DAILY_EXACT), 4, set())
+
+
 @query(
     "agg_buyer_month",
     q.with_ctes("partner", "SELECT * FROM partner"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.checks import base_sql as q
@@ -304,3 +304,45 @@ def union_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.when(F.col("c_custkey") % 5 != 0, F.array("c_mktsegment", F.lit("Customer")))
     merged = scalars.union_of_arrays(F.split("c_name", "#"), tags)
     return rows.select("c_custkey", F.array_join(merged, ",").alias("merged"))
+
+
+STAGED = """target AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS day, o_orderkey AS id, o_totalprice AS v FROM orders
+        WHERE o_orderstatus <> 'O'),
+    changes AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS day, o_orderkey AS id, -o_totalprice AS v FROM orders
+        WHERE o_orderpriority = '1-URGENT')"""
+
+
+def _table_and_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = star_tables.read(spark, sf_dir, "orders")
+    price = F.col("o_totalprice")
+
+    def shaped(df: DataFrame, value: Column) -> DataFrame:
+        return df.select(
+            F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("id"), value.alias("v")
+        )
+
+    return shaped(orders.filter("o_orderstatus <> 'O'"), price), shaped(orders.filter("o_orderpriority = '1-URGENT'"), -price)
+
+
+@query(
+    "sink_upsert",
+    f"""WITH {STAGED}, latest AS (SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY k, day ORDER BY id DESC) AS r
+            FROM changes) WHERE r = 1)
+        SELECT * FROM latest UNION ALL SELECT t.* FROM target t WHERE day IN (SELECT day FROM latest)
+            AND NOT EXISTS (SELECT 1 FROM latest l WHERE l.k = t.k AND l.day = t.day)""",
+)
+def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the partitions that a merge rewrites."""
+    target, changes = _table_and_changes(spark, sf_dir)
+    return store.merged_rows(target, store.latest_rows(changes, ["k", "day"], [F.desc("id")]), ["k", "day"], "day")
+
+
+@query(
+    "sink_replace_partitions",
+    f"""WITH {STAGED} SELECT * FROM changes UNION ALL
+        SELECT * FROM target WHERE day NOT IN (SELECT day FROM changes)""",
+)
+def sink_replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table after a partition replacement."""
+    target, changes = _table_and_changes(spark, sf_dir)
+    return store.replaced_rows(target, changes, ["day"])

@@ -30,22 +30,11 @@ def closed_month_key(run_date: dt.date) -> str:
     return last_closed_day(run_date).strftime("%Y%m")
 
 
-def month_keys_around(run_date: dt.date, months: int) -> list[str]:
-    """``YYYYMM`` of the closed month and of ``months`` neighbours on either side."""
-    closed = last_closed_day(run_date)
-    return [month_start(closed, back).strftime("%Y%m") for back in range(months, -months - 1, -1)]
-
-
 def month_anchor_weeks(day: dt.date, weeks: int) -> dt.date:
     """First day of ``day``'s month moved back by whole weeks (not a trailing week)."""
     return month_start(day) - dt.timedelta(weeks=weeks)
 
 
-def trailing_weeks(day: dt.date, weeks: int) -> dt.date:
-    """First day of the ``weeks`` full weeks that end on ``day``."""
-    return day - dt.timedelta(days=7 * weeks - 1)
-
-
 def trailing_starts(last_day: dt.date, months: Mapping[str, int] = TRAILING_MONTHS) -> dict[str, dt.date]:
     """Start date per trailing window ending on ``last_day``."""
     return {name: month_start(last_day, n - 1) for name, n in months.items()}
@@ -101,11 +90,6 @@ def trailing_frame(
     return bounded.select("*", as_of.alias("as_of")).withColumn("months_back", back(F.col("as_of")))
 
 
-def trailing_conditions(months: Mapping[str, int] = TRAILING_MONTHS) -> list[tuple[Column, str]]:
-    """(condition, suffix) per window for a frame made by :func:`trailing_frame`."""
-    return [(F.col("months_back") < n, f"_{name}") for name, n in months.items()]
-
-
 def since_conditions(date_col: str, starts: Mapping[str, dt.date]) -> list[tuple[Column, str]]:
     """(condition, suffix) per window given explicit start dates."""
     return [(F.col(date_col) >= F.lit(start), f"_{name}") for name, start in starts.items()]

@@ -222,10 +222,11 @@ def from_invoices(
 ) -> DataFrame:
     """The feature table straight from logical invoices.
 
-    Both grains are written once before the feature groups branch off, so invoices
-    are read for each grain and never again. Runs those two writes when called.
+    The slim typed rows are written first and the grains from them, so that the invoices
+    are read once (under adjusted sales: by the one lookup of originals). Runs these three
+    writes to the shared folder when called; the files go when the process ends.
     """
-    rows = analysis_rows(invoices, policy)
+    rows = materialize(analysis_rows(invoices, policy), "rows")
     grain = materialize(grains.day_grain(rows), "days")
     partners = materialize(grains.partner_month(rows, policy.filter_pairs), "partners")
     return seller_features(grain, partners, run_dates, night=policy.night_flag)

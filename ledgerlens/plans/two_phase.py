@@ -6,8 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates
@@ -18,50 +17,79 @@ from ledgerlens.sources.schema import NAMED_LAYOUT, to_logical
 from ledgerlens.sources.store import replace_partitions
 
 STAGE_KEY = "stage_month"
+SOURCE_KEY = "source_month"
 
 
 @dataclass(frozen=True)
 class Tables:
     invoices: str
+    rows: str
     days: str
     partners: str
     features: str
 
 
-def _in_month(df: DataFrame, date_col: str, run_date: dt.date) -> DataFrame:
-    last = dates.last_closed_day(run_date)
-    return df.filter(dates.within(date_col, dates.month_start(last), last)).withColumn(
-        STAGE_KEY, F.lit(dates.closed_month_key(run_date))
+def rows_by_month(typed: DataFrame, source_month: Column) -> DataFrame:
+    """Typed rows with the month they are dated in and the source partition they came in."""
+    return typed.withColumns({STAGE_KEY: F.date_format("report_date", "yyyyMM"), SOURCE_KEY: source_month.cast("string")})
+
+
+def grains_of_months(rows: DataFrame, months: Sequence[str], policy: InvoicePolicy = CURRENT) -> tuple[DataFrame, DataFrame]:
+    """Day and partner grain of the given months, whichever partitions their rows came in."""
+    dated = rows.filter(F.col(STAGE_KEY).isin(list(months)))
+    days = grains.day_grain(dated)
+    partners = grains.partner_month(dated, policy.filter_pairs)
+    return (
+        days.withColumn(STAGE_KEY, F.date_format("report_date", "yyyyMM")),
+        partners.withColumn(STAGE_KEY, F.date_format("month_start", "yyyyMM")),
     )
 
 
+def _partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    if not spark.catalog.tableExists(table):
+        return []
+    listed = (r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())  # bounded by the months
+    return [dict(part.split("=", 1) for part in line.split("/")) for line in listed]
+
+
+def _refresh_rows(spark: SparkSession, tables: Tables, invoices: DataFrame, month: str, policy: InvoicePolicy) -> set[str]:
+    """Write the rows of one source partition again; the months it touches or touched."""
+    before = {p[STAGE_KEY] for p in _partitions(spark, tables.rows) if p[SOURCE_KEY] == month}
+    rows = rows_by_month(analysis_rows(invoices, policy), F.lit(month))
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(STAGE_KEY).alias("months"))
+    replace_partitions(rows, tables.rows, [SOURCE_KEY, STAGE_KEY])
+    after = set(written.get["months"])
+    for gone in sorted(before - after):
+        spark.sql(f"ALTER TABLE {tables.rows} DROP IF EXISTS PARTITION ({SOURCE_KEY} = '{month}', {STAGE_KEY} = '{gone}')")
+    return before | after
+
+
 def stage(
     spark: SparkSession,
     tables: Tables,
     run_dates: Sequence[dt.date],
     policy: InvoicePolicy = CURRENT,
     layout: dict[str, str] = NAMED_LAYOUT,
-    around: int = 0,
 ) -> None:
     """Build the day and partner grains of each month a run date reports on.
 
-    Each month reads only its own source partition, once: the slim typed rows are
-    kept for the two grains that need them. Both tables are partitioned by month and
-    a month is replaced whole. Rows dated outside the month are left to the month
-    they are dated in, so a month cannot overwrite another one's days with a fragment;
-    ``around`` makes each month collect its rows from neighbouring source partitions.
+    Each run date reads its own source partition, once, into the table of slim rows,
+    which is partitioned by source partition and by the month the rows are dated in. A
+    month's grains then come from all rows dated in it, whichever partition brought them.
+    Months staged before that received or lost rows are staged again. Rows dated in a
+    month that is not staged yet wait in the table of rows.
     """
+    wanted = [dates.closed_month_key(d) for d in sorted(run_dates)]
+    touched: set[str] = set()
     for run_date in sorted(run_dates):
-        invoices = month_slice(to_logical(spark.table(tables.invoices), layout), run_date, around)
-        rows = analysis_rows(invoices, policy).persist(StorageLevel.MEMORY_AND_DISK)
-        month = [dates.closed_month_key(run_date)]
-        try:
-            days = _in_month(grains.day_grain(rows), "report_date", run_date)
-            replace_partitions(days, tables.days, [STAGE_KEY], {STAGE_KEY: month})
-            partners = _in_month(grains.partner_month(rows, policy.filter_pairs), "month_start", run_date)
-            replace_partitions(partners, tables.partners, [STAGE_KEY], {STAGE_KEY: month})
-        finally:
-            rows.unpersist()
+        invoices = month_slice(to_logical(spark.table(tables.invoices), layout), run_date)
+        touched |= _refresh_rows(spark, tables, invoices, dates.closed_month_key(run_date), policy)
+    staged = {p[STAGE_KEY] for p in _partitions(spark, tables.days)}
+    for month in sorted(set(wanted) | (touched & staged)):
+        days, partners = grains_of_months(spark.table(tables.rows), [month], policy)
+        replace_partitions(days, tables.days, [STAGE_KEY], {STAGE_KEY: [month]})
+        replace_partitions(partners, tables.partners, [STAGE_KEY], {STAGE_KEY: [month]})
 
 
 def build_features(
@@ -87,12 +115,11 @@ def run(
     mode: str = "all",
     policy: InvoicePolicy = CURRENT,
     layout: dict[str, str] = NAMED_LAYOUT,
-    around: int = 0,
 ) -> None:
     """``staging``, ``features``, or ``all`` for both."""
     if mode not in ("staging", "features", "all"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode != "features":
-        stage(spark, tables, run_dates, policy, layout, around)
+        stage(spark, tables, run_dates, policy, layout)
     if mode != "staging":
         build_features(spark, tables, run_dates, policy)

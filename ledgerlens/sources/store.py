@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -43,14 +45,23 @@ def shared_folder(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read, and read it back.
 
-    The branches then scan a pruned columnar file instead of repeating the work.
+    The branches then scan a pruned columnar file instead of repeating the work. The
+    folder goes when the process that made it ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, weakref.ref(spark), path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(session: weakref.ref, path: str) -> None:
+    spark = session()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def overwrite_table(df: DataFrame, table: str, partition_cols: Sequence[str] = ()) -> None:
     """Replace a managed table and its schema."""
     df.write.mode("overwrite").partitionBy(*partition_cols).saveAsTable(table)
@@ -112,42 +123,64 @@ def audit_columns(df: DataFrame, partition: str, job_columns: bool = True) -> Da
     )
 
 
-def upsert(
-    df: DataFrame,
-    table: str,
-    keys: Sequence[str],
-    partition: str,
-    latest: Column | None = None,
-) -> None:
+def latest_rows(df: DataFrame, keys: Sequence[str], latest: Sequence[Column]) -> DataFrame:
+    """One row per key: the first in the order of ``latest``, which should settle ties.
+
+    A null in a key makes the query fail, as such a row could never be found again.
+    """
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*latest))
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    message = F.lit(f"null in a key of {', '.join(keys)}")
+    checked = F.when(missing, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(checked).withColumn("_first", first).filter("_first = 1").drop("_first")
+
+
+def merged_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """What the partitions that ``source`` falls in hold after a merge.
+
+    ``source`` is unique on its keys. Rows of the target without a new version stay.
+    """
+    touched = source.select(partition).distinct()
+    kept = target.join(touched, partition, "left_semi").join(source.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(source).select(*target.columns)
+
+
+def replaced_rows(target: DataFrame, source: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """What a table holds after the partitions present in ``source`` were replaced by it."""
+    touched = source.select(*partition_cols).distinct()
+    return target.join(touched, list(partition_cols), "left_anti").select(*target.columns).unionByName(source)
+
+
+def upsert(df: DataFrame, table: str, keys: Sequence[str], partition: str, latest: Sequence[Column]) -> None:
     """Merge rows into a partitioned table: matching keys are replaced, new ones added.
 
-    Only touched partitions are rewritten: old rows without a new version are kept by
-    an anti join, and the target is pruned to the partitions the new rows fall in.
-    Source rows with equal keys are reduced to one, the greatest by ``latest`` if given.
-    A key is expected to stay in its partition.
+    Only touched partitions are rewritten. Source rows with equal keys are reduced to the
+    first by ``latest``; that is written once and read by the three uses of it. A key is
+    expected to stay in its partition.
     """
     spark = df.sparkSession
-    if latest is None:
-        unique = df.dropDuplicates(list(keys))
-    else:
-        unique = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), latest).alias("r")).select("r.*")
+    unique = materialize(latest_rows(df, keys, latest), "upsert")
     if not spark.catalog.tableExists(table):
         unique.hint("rebalance", partition).write.partitionBy(partition).saveAsTable(table)
         return
-    target = spark.table(table)
-    touched = unique.select(partition).distinct()
-    kept = target.join(touched, partition, "left_semi").join(unique.select(*keys), list(keys), "left_anti")
-    merged = kept.unionByName(unique).select(*target.columns).hint("rebalance", partition)
+    merged = merged_rows(spark.table(table), unique, keys, partition).hint("rebalance", partition)
     with _dynamic_overwrite(spark):
         merged.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 
 def upsert_features(
-    df: DataFrame, table: str, partition: str = "report_date", entity: str = "cusid", job_columns: bool = True
+    df: DataFrame,
+    table: str,
+    latest: Sequence[Column],
+    partition: str = "report_date",
+    entity: str = "cusid",
+    job_columns: bool = True,
 ) -> None:
     """Feature-table merge on entity and processing time, with audit columns."""
-    upsert(audit_columns(df, partition, job_columns), table, [entity, "processing_dt"], partition)
+    upsert(audit_columns(df, partition, job_columns), table, [entity, "processing_dt"], partition, latest)
 
 
 def availability(

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -26,16 +26,16 @@ def sortable(row):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     types = {c[0]: str(c[1]) for c in result.description}
     expected = [dict(zip(types, row)) for row in result.fetchall()]
 
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     assert sorted(df.columns) == sorted(types)
     assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes if t in DUCK_TYPES} == {
         c: types[c] for c, t in df.dtypes if t in DUCK_TYPES

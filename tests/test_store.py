@@ -83,8 +83,10 @@ def test_overwrite_table(spark, table):
 
 def test_upsert_replaces_and_adds(spark, table):
     keys = ["mst_seller", "report_date"]
-    store.upsert(frame(spark, M1 + M2), table, keys, "report_date")
-    store.upsert(frame(spark, [("A", 1.0, "2024-12-30"), ("N", 2.0, "2024-12-30")]), table, keys, "report_date")
+    order = [F.desc("daily_total_sales")]
+    store.upsert(frame(spark, M1 + M2), table, keys, "report_date", order)
+    for _ in range(2):  # a repeated call changes nothing
+        store.upsert(frame(spark, [("A", 1.0, "2024-12-30"), ("N", 2.0, "2024-12-30")]), table, keys, "report_date", order)
     assert content(spark, table) == sorted(
         [("A", 1.0, "2024-12-30"), ("N", 2.0, "2024-12-30"), ("B", 200.0, "2024-12-31"), *M2]
     )
@@ -92,14 +94,19 @@ def test_upsert_replaces_and_adds(spark, table):
 
 def test_upsert_keeps_the_latest_of_equal_keys(spark, table):
     rows = [("A", 1.0, "2024-12-30"), ("A", 9.0, "2024-12-30"), ("A", 5.0, "2024-12-30")]
-    store.upsert(frame(spark, rows), table, ["mst_seller"], "report_date", latest=F.col("daily_total_sales"))
+    store.upsert(frame(spark, rows), table, ["mst_seller"], "report_date", latest=[F.desc("daily_total_sales")])
     assert content(spark, table) == [("A", 9.0, "2024-12-30")]
 
 
+def test_upsert_rejects_null_keys(spark, table):
+    with pytest.raises(Exception, match="null in a key"):
+        store.upsert(frame(spark, [(None, 1.0, "2024-12-30")]), table, ["mst_seller"], "report_date", [F.desc("daily_total_sales")])
+
+
 def test_upsert_features_adds_audit_columns(spark, table):
     features = frame(spark, M1).withColumnRenamed("mst_seller", "cusid")
-    store.upsert_features(features, table)
-    store.upsert_features(features.withColumn("daily_total_sales", F.lit(0.0)), table)
+    store.upsert_features(features, table, [F.desc("daily_total_sales")])
+    store.upsert_features(features.withColumn("daily_total_sales", F.lit(0.0)), table, [F.desc("daily_total_sales")])
     rows = spark.table(table).collect()
     assert len(rows) == 2 and {r.daily_total_sales for r in rows} == {0.0}
     assert {str(r.processing_dt) for r in rows} == {"2024-12-30 00:00:00", "2024-12-31 00:00:00"}
