@@ -20,10 +20,9 @@ sets share gives the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +130,8 @@ def _looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 #: Shingles whose membership in a block of sets is laid out at once.
 COLUMNS = 4_096
+#: Pairs that are looked at one by one instead.
+FEW = 16
 #: Members of a label on one list from which on they count as a block.
 BLOCK = 8
 
@@ -163,6 +164,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def link_matrix(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    if len(left) * len(right) <= FEW:
+        return np.array([[linked(a, b, percent) for b in right] for a in left], dtype=bool)
     both = overlaps(left, right)
     union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - both
     return (both > 0) & (100 * both >= percent * union)
@@ -180,15 +183,47 @@ def connect(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
         least = spread
 
 
-def _gathered(percent: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame.drop_duplicates(["id", "text"])
-        edges = connect(first["id"].to_numpy(), [shingle_set(t) for t in first["text"]], percent) if len(first) > 1 else []
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+def _edges(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*edges, strict=True)) if edges else [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["a", "b"])
+
+
+def _by_group(keys: list[str], size: int, link: Callable[[list[dict]], list[tuple[int, int]]]):
+    """Calls ``link`` with the rows of each group; the input has groups together, and none
+    has more than about ``size`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, key = [], None
+        for batch in batches:
+            edges = []
+            for at in range(0, batch.num_rows, size):
+                for row in batch.slice(at, size).to_pylist():
+                    of_row = tuple(row[k] for k in keys)
+                    if of_row != key:
+                        edges += link(group)
+                        group, key = [], of_row
+                    group.append(row)
+            yield _edges(edges)
+        yield _edges(link(group))
 
     return run
 
 
+def _grouped(rows: DataFrame, keys: list[str], link: Callable[[list[dict]], list[tuple[int, int]]]) -> DataFrame:
+    n = common.shuffle_partitions(rows.sparkSession)
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_by_group(keys, GATHERED, link), "a long, b long")
+
+
+def _connect_gathered(percent: int):
+    def link(rows: list[dict]) -> list[tuple[int, int]]:
+        distinct = list({(r["id"], r["text"]): r for r in rows}.values())
+        if len(distinct) < 2:
+            return []
+        return connect(np.array([r["id"] for r in distinct]), [shingle_set(r["text"]) for r in distinct], percent)
+
+    return link
+
+
 def boundary(sizes: dict[int, int], percent: int) -> int:
     """Largest size whose sets are light, by the cost of subsets and of lists to scan."""
     n = np.arange(SIZES + 1, dtype=np.float64)
@@ -320,21 +355,18 @@ def _candidates(light: int, percent: int):
     return run
 
 
-def _verified(percent: int):
+def _link_asking(percent: int):
     """Links between sets that ask and sets of the label; one per set that asks is enough."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame.drop_duplicates(["id", "asks", "text"])
-        asking, held = first[first["asks"]], first[~first["asks"]]
-        edges = []
-        if len(asking) and len(held):
-            left, right = ([shingle_set(t) for t in side["text"]] for side in (asking, held))
-            links = link_matrix(left, right, percent)
-            has = links.any(axis=1)
-            edges = list(zip(asking["id"].to_numpy()[has], held["id"].to_numpy()[links.argmax(axis=1)[has]], strict=True))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+    def link(rows: list[dict]) -> list[tuple[int, int]]:
+        asking, held = ([r for r in rows if r["asks"] is side] for side in (True, False))
+        if not asking or not held:
+            return []
+        left, right = ([shingle_set(r["text"]) for r in side] for side in (asking, held))
+        links = link_matrix(left, right, percent)
+        return [(asking[i]["id"], held[links[i].argmax()]["id"]) for i in np.flatnonzero(links.any(axis=1))]
 
-    return run
+    return link
 
 
 def _compared(labelled: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
@@ -358,7 +390,7 @@ def _compared(labelled: DataFrame, wanted: DataFrame, percent: int) -> DataFrame
     asking = labelled.select("id", "text").join(asking, "id").select("other", "deal", "part", F.lit(True).alias("asks"), "id", "text")
     holding = labelled.withColumnRenamed("label", "other").join(deals, "other").select("id", "text", "other", "asking", one("holding").alias("part"))
     holding = holding.select("other", each("asking").alias("deal"), "part", F.lit(False).alias("asks"), "id", "text")
-    return asking.unionByName(holding).groupBy("other", "deal", "part").applyInPandas(_verified(percent), "a long, b long")
+    return _grouped(asking.unionByName(holding), ["other", "deal", "part"], _link_asking(percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -395,12 +427,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # A gathering of more sets than GATHERED is dealt out; the lists below find the rest.
     several = chosen.groupBy("sign").agg(F.count("*").alias("members")).filter("members > 1")
     met = chosen.join(several, "sign").withColumn("deal", F.pmod(F.xxhash64("id", "sign"), F.ceil(F.col("members") / GATHERED)))
-    gathered = (
-        nodes.join(met, "id")
-        .select("id", "text", "sign", "deal")
-        .groupBy("sign", "deal")
-        .applyInPandas(_gathered(percent), "a long, b long")
-    )
+    gathered = _grouped(nodes.join(met, "id").select("id", "text", "sign", "deal"), ["sign", "deal"], _connect_gathered(percent))
     first = common.write_and_read(gathered.distinct(), "links")
     common.release(spark)
     joined = components(first)
