@@ -4,7 +4,9 @@ The anchor of a window is its least sub-window, under a hash. Equal windows have
 anchors, so a window whose anchor occurs at one place only cannot repeat. Anchors are few
 (two in as many places as a window has sub-windows) and are counted in Spark; only runs of
 neighbouring windows with a repeated anchor go on. Windows of such a run travel together,
-under their anchor, to where they are compared with all other runs of that anchor.
+under their anchor, to where they are compared with all other runs of that anchor. Windows
+of an anchor with more than ``FREQUENT_RUNS`` runs travel singly, under their own number, so
+that no group of runs grows with the corpus.
 """
 
 from __future__ import annotations
@@ -13,17 +15,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
-from ledgerlens.llm.shingles import windows
+from ledgerlens.llm.shingles import mix, windows
 
 #: Windows looked at together; longer documents are gone through in steps.
 STEP = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 #: Bytes of runs that are compared at once, about.
 BLOCK_BYTES = 2 << 20
+#: Runs of one anchor that are compared as runs; about a block of them.
+FREQUENT_RUNS = 10_000
+#: Single windows of frequent anchors that a sender looks at together.
+SINGLE_WINDOWS = 1 << 18
 
 RUNS = "anchor long, key long, start long, n long"
 FLAGGED = "key long, first long, last long"
@@ -80,20 +87,22 @@ def _placed(units: Units, window: int, sub: int):
 
 
 def candidate_runs(nodes: DataFrame, units: Units, window: int, sub: int) -> DataFrame:
-    """``nodes`` that hold repeated anchors, with ``runs``: array of (anchor, start, n)."""
+    """``nodes`` that hold repeated anchors, with ``runs``: array of (anchor, start, n). ``n``
+    is negative where the anchor has more than ``FREQUENT_RUNS`` runs."""
     repeated = (
         nodes.select("text")
         .mapInArrow(_counted(units, window, sub), "anchor long, n long")
         .groupBy("anchor")
         .agg(F.sum("n").alias("n"))
         .filter("n > 1")
-        .select("anchor")
+        .select("anchor", (F.col("n") > FREQUENT_RUNS).alias("frequent"))
     )
     # Written, so that the join below has two plain inputs and can split a frequent anchor.
     repeated = common.write_and_read(repeated, "anchors")
     common.release(nodes.sparkSession)
     placed = nodes.select("key", "text").mapInArrow(_placed(units, window, sub), RUNS).join(repeated, "anchor")
-    runs = placed.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("runs"))
+    n = F.when(F.col("frequent"), -F.col("n")).otherwise(F.col("n")).alias("n")
+    runs = placed.select("key", "anchor", "start", n).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("runs"))
     return nodes.join(runs, "key")
 
 
@@ -107,18 +116,120 @@ def sent(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def window_pairs(numbers: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent numbers of every window."""
+    return windows(numbers, window), windows(mix(numbers ^ np.uint64(0xA0761D6478BD642F)), window)
+
+
+class Singles:
+    """Windows of frequent anchors, which a sender takes out of their runs.
+
+    Of equal windows that are looked at together one is sent, with weight -1; the later
+    ones are flagged at once. If ``all_equal``, all of them are flagged, and one without a
+    key, of weight -2, stands for them.
+    """
+
+    def __init__(self, all_equal: bool) -> None:
+        self.all_equal = all_equal
+        self._clear()
+
+    def _clear(self) -> None:
+        self.runs: list[tuple[int, int, int, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, id_: int, key: int, start: int, pair: tuple[np.ndarray, np.ndarray], n: int) -> Iterator[pa.RecordBatch]:
+        self.runs.append((id_, key, start, pair[0][start : start + n].copy(), pair[1][start : start + n].copy()))
+        self.held += n
+        if self.held >= SINGLE_WINDOWS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.runs:
+            return
+        ids, keys, starts, one, two = zip(*self.runs, strict=True)
+        self._clear()
+        lengths = np.array([len(x) for x in one])
+        one, two = np.concatenate(one), np.concatenate(two)
+        start = np.arange(len(one)) + np.repeat(np.array(starts) - (np.cumsum(lengths) - lengths), lengths)
+        id_, key = (np.repeat(np.array(x, dtype=np.int64), lengths) for x in (ids, keys))
+        order = np.lexsort((start, key, id_, two, one))
+        one, two, id_, key, start = (x[order] for x in (one, two, id_, key, start))
+        head = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+        first = np.flatnonzero(head)
+        several = np.diff(np.r_[first, len(head)]) > 1
+        gone = np.repeat(several, np.diff(np.r_[first, len(head)])) if self.all_equal else ~head
+        several &= self.all_equal
+
+        number, body = one[first].view(np.int64), two[first]
+        yield _sent_columns(
+            number,
+            pa.array(number),
+            id_[first],
+            pa.array(key[first], mask=several),
+            start[first],
+            np.ones(len(first), np.int64),
+            np.where(several, -2, -1),
+            pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(first), [None, pa.py_buffer(body.tobytes())]).cast(pa.binary()),
+        )
+        # Neighbouring windows are flagged as one run.
+        at = np.flatnonzero(gone)
+        at = at[np.lexsort((start[at], key[at]))]
+        begins = np.flatnonzero(np.r_[True, (key[at][1:] != key[at][:-1]) | (start[at][1:] != start[at][:-1] + 1)]) if len(at) else at
+        n, at = np.diff(np.r_[begins, len(at)]), at[begins]
+        none = lambda kind: pa.nulls(len(at), kind)
+        yield _sent_columns(key[at], none(pa.int64()), id_[at], pa.array(key[at]), start[at], n, np.ones(len(at)), none(pa.binary()))
+
+
+def _sent_columns(route, anchor, id_, key, start, n, weight, body) -> pa.RecordBatch:
+    columns = [pa.array(route), anchor, pa.array(id_), key, pa.array(start), pa.array(n), pa.array(weight.astype(np.int32)), body]
+    return pa.RecordBatch.from_arrays(columns, ["route", "anchor", "id", "key", "start", "n", "weight", "body"])
+
+
+class _SinglesCompared:
+    """Flags equal windows that were sent singly and arrive in their order, whatever their
+    number: of the rows before a batch only the last is held."""
+
+    def __init__(self, all_equal: bool) -> None:
+        self.all_equal = all_equal
+        self.last: pa.RecordBatch | None = None
+        self.done = False
+
+    def flags(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = pa.Table.from_batches([batch] if self.last is None else [self.last, batch]).combine_chunks()
+        number = rows.column("anchor").to_numpy()
+        body = np.frombuffer(b"".join(rows.column("body").to_pylist()), dtype=np.uint64)
+        equal = (number[1:] == number[:-1]) & (body[1:] == body[:-1])
+        hit = np.r_[False, equal]
+        if self.all_equal:
+            hit |= np.r_[equal, False] | (rows.column("weight").to_numpy() == -2)
+        new = hit.copy()
+        if self.last is not None:
+            new[0] &= self.all_equal and not self.done
+            hit[0] |= self.done
+        self.last, self.done = batch.slice(batch.num_rows - 1), bool(hit[-1])
+        found = rows.filter(pc.and_(pa.array(new), pc.is_valid(rows.column("key"))))
+        key, start = (found.column(c).to_numpy() for c in ("key", "start"))
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, start, start)], ["key", "first", "last"])
+
+
 def flagged(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["key", "first", "last"])
 
 
-def _compared(compare: Callable[[list[dict]], list[tuple[int, int, int]]]):
-    """Gathers the runs of whole anchors up to a size, and compares them."""
+def _compared(compare: Callable[[list[dict]], list[tuple[int, int, int]]], all_equal: bool):
+    """Gathers the runs of whole anchors up to a size, and compares them; single windows are
+    compared as they pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[dict] = []
         held = 0
+        singles = _SinglesCompared(all_equal)
         for batch in batches:
+            single = pc.less(batch.column("weight"), 0)
+            if pc.any(single).as_py():
+                yield singles.flags(batch.filter(single))
+                batch = batch.filter(pc.invert(single))
             out = []
             for row in batch.to_pylist():
                 if row["body"] is None:  # flagged where it came from
@@ -136,18 +247,20 @@ def _compared(compare: Callable[[list[dict]], list[tuple[int, int, int]]]):
     return run
 
 
-def flagged_windows(candidates: DataFrame, send: Callable, compare: Callable) -> DataFrame:
+def flagged_windows(candidates: DataFrame, send: Callable, compare: Callable, all_equal: bool) -> DataFrame:
     """Per key, ``flags``: array of (first, last) numbers of windows that ``compare`` names.
 
     ``send`` turns candidate rows into rows for the shuffle. It names a route for each: the
-    anchor for what is to be compared, the key for what is flagged already.
+    anchor for what is to be compared, the key for what is flagged already, and its own
+    number for a window of a frequent anchor (see :class:`Singles`). Of those, ``all_equal``
+    ones are flagged, or else all but the first by id, key and start.
     """
     n = common.shuffle_partitions(candidates.sparkSession)
     return (
         candidates.mapInArrow(send, SENT)
         .repartition(n, "route")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_compared(compare), FLAGGED)
+        .sortWithinPartitions("anchor", "body", "id", "key", "start")
+        .mapInArrow(_compared(compare, all_equal), FLAGGED)
         .groupBy("key")
         .agg(F.collect_list(F.struct("first", "last")).alias("flags"))
     )

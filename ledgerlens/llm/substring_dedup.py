@@ -26,14 +26,21 @@ def _units(text: str) -> np.ndarray:
 
 
 def _send(window: int):
-    """Equal runs of a batch are flagged at once, and one stands for them, counted twice."""
+    """Equal runs of a batch are flagged at once, and one stands for them, counted twice.
+    Windows of frequent anchors are sent singly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        singles = repeats.Singles(all_equal=True)
         for batch in batches:
             places: dict[tuple[int, bytes], list[tuple[int, int, int]]] = defaultdict(list)
             for key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "runs")), strict=True):
-                numbers = windows(_units(text), window)
+                units = _units(text)
+                numbers = windows(units, window)
+                pair = repeats.window_pairs(units, window) if any(r["n"] < 0 for r in runs) else None
                 for r in runs:
+                    if r["n"] < 0:
+                        yield from singles.add(key, key, r["start"], pair, -r["n"])
+                        continue
                     body = numbers[r["start"] : r["start"] + r["n"]].tobytes()
                     places[r["anchor"], body].append((key, r["start"], r["n"]))
             rows = []
@@ -45,6 +52,7 @@ def _send(window: int):
                     rows += [(key, None, key, key, start, n, 2, None) for key, start, n in found]
                     rows.append((anchor, anchor, None, None, 0, found[0][2], 2, body))
             yield repeats.sent(rows)
+        yield from singles.flush()
 
     return run
 
@@ -124,7 +132,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, with_text: bool =
     sub = max(1, window // 4)
     texts = common.distinct_texts(docs)
     candidates = repeats.candidate_runs(texts.nodes, _units, window, sub)
-    flags = repeats.flagged_windows(candidates, _send(window), _compare)
+    flags = repeats.flagged_windows(candidates, _send(window), _compare, all_equal=True)
     done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(_finish(window, with_text), DONE)
     gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))

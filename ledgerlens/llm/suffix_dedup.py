@@ -8,7 +8,8 @@ their common step leads to, however long they agree, and by their last bytes.
 
 Suffixes are sorted one block at a time: a block holds all suffixes with the same anchors
 (see :mod:`repeats`), so equal strings are in one block. A block's memory is bounded by
-``repeats.BLOCK_BYTES`` and the size of one anchor's distinct runs.
+``repeats.BLOCK_BYTES`` and ``repeats.FREQUENT_RUNS`` runs of one anchor. Strings of an anchor
+with more runs are brought together singly, by two 64-bit numbers of each.
 """
 
 from __future__ import annotations
@@ -131,15 +132,21 @@ def suffix_classes(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndar
 
 
 def _send(window: int):
-    """Of equal runs in a batch, all but the earliest are flagged at once."""
+    """Of equal runs in a batch, all but the earliest are flagged at once. Windows of
+    frequent anchors are sent singly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        singles = repeats.Singles(all_equal=False)
         for batch in batches:
             seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}
             rows = []
             for doc, key, text, runs in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "text", "runs")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
+                pair = repeats.window_pairs(_units(text), window) if any(r["n"] < 0 for r in runs) else None
                 for r in runs:
+                    if r["n"] < 0:
+                        yield from singles.add(doc, key, r["start"], pair, -r["n"])
+                        continue
                     what = (r["anchor"], raw[r["start"] : r["start"] + r["n"] + window - 1])
                     place = (doc, key, r["start"])
                     if what in seen:
@@ -149,6 +156,7 @@ def _send(window: int):
             for (anchor, body), (doc, key, start) in seen.items():
                 rows.append((anchor, anchor, doc, key, start, len(body) - window + 1, 1, body))
             yield repeats.sent(rows)
+        yield from singles.flush()
 
     return run
 
@@ -227,7 +235,7 @@ def remove_earlier_strings(docs: DataFrame, window: int = 100, with_text: bool =
     sub = min(32, window // 3)
     texts = common.distinct_texts(docs)
     candidates = repeats.candidate_runs(texts.nodes, _units, window, sub)
-    flags = repeats.flagged_windows(candidates, _send(window), _compare(window))
+    flags = repeats.flagged_windows(candidates, _send(window), _compare(window), all_equal=False)
     done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(_finish(window, with_text), DONE)
     # A later copy of a whole text was there before, from its first byte to its last.
     copy = (F.col("id") != F.col("owner")) & (F.col("n_bytes") >= window)

@@ -5,8 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import jaccard_join, substring_dedup, suffix_dedup
+from ledgerlens.llm import common, jaccard_join, repeats, substring_dedup, suffix_dedup
 from ledgerlens.llm.components import components
 from ledgerlens.llm.shingles import shingle_set, windows, word_numbers
 from tests.llm.helpers import documents, mixed_documents, sentence
@@ -111,6 +112,30 @@ def test_substring_dedup_equals_brute_force(spark):
         assert sum(s["end"] - s["start"] for s in r["intervals"]) == r["n_removed"]
 
 
+@pytest.mark.parametrize("operator", [suffix_dedup, substring_dedup])
+def test_runs_of_a_frequent_anchor_are_not_gathered(spark, operator, monkeypatch):
+    monkeypatch.setattr(repeats, "FREQUENT_RUNS", 5, raising=False)
+    monkeypatch.setattr(repeats, "SINGLE_WINDOWS", 300, raising=False)
+    draw = random.Random(11)
+    passage = sentence(draw, 60)
+    rows = [(k, f"{sentence(draw, 20)} {passage} {sentence(draw, 20)}") for k in range(60)]
+    rows += [r for r in mixed_documents() if r[0] is not None and r[0] >= 60] + [(900, rows[3][1] + " end"), (901, rows[3][1])]
+    docs = documents(spark, rows)
+    if operator is suffix_dedup:
+        sent = operator._send(100)
+        candidates = repeats.candidate_runs(common.distinct_texts(docs).nodes, operator._units, 100, 32)
+        got = operator.remove_earlier_strings(docs).collect()
+        have = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
+        assert have == brute_suffixes(rows, 100)
+    else:
+        sent = operator._send(35)
+        candidates = repeats.candidate_runs(common.distinct_texts(docs).nodes, operator._units, 35, 8)
+        got = operator.remove_repeated_windows(docs).collect()
+        assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute_windows(rows, 35)
+    gathered = candidates.mapInArrow(sent, repeats.SENT).filter("weight > 0 and body is not null").groupBy("anchor").count()
+    assert (gathered.agg(F.max("count").alias("n")).first()["n"] or 0) <= 5
+
+
 def brute_links(rows):
     up = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
