@@ -3,7 +3,8 @@
 Texts are folded first: case, look-alike letters, and digits or signs that stand for
 letters. One Aho-Corasick automaton then finds lexicon entries (whole words or word
 beginnings, with weights) and exception phrases in one scan; an entry inside an exception
-phrase does not count. The weights found are divided by a slowly growing function of the
+phrase does not count. Signs at a word's end may be noise or letters: such a word is read
+without them, and also with any number of them as letters. The weights found are divided by a slowly growing function of the
 text's length and mapped to a score between 0 and 1.
 
 The lexicon, the exceptions and the threshold are learned from a bounded sample of labels.
@@ -43,6 +44,7 @@ LOOKALIKES = str.maketrans(
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"})
 _SIGNED = "0123456789@$!"
 _HAS_SIGN = re.compile(r"[0-9@$!]")
+_ENDS_SIGNED = re.compile(r"[^ 0-9@$!][0-9@$!]+(?: |$)")
 _SIGNED_WORD = re.compile(r"[^ ]*[0-9@$!][^ ]*")
 _OTHER = re.compile(r"[^\w@$! ]|_")
 _LATIN = bytes(c if chr(c).isalnum() or chr(c) in "@$!" else 32 for c in range(256))
@@ -65,15 +67,44 @@ def _signed(match: re.Match) -> str:
     return word.translate(SIGNS) if any(c.isalpha() for c in word) else ""
 
 
-def fold_text(text: str) -> str:
-    """Lower-case words of letters with single or more blanks between, in reading order."""
+def _plain(text: str) -> str:
+    """Lower-case words of Latin look-alikes, digits and signs, with blanks between."""
     s = text.lower()
     try:
         s = s.encode("latin-1").replace(b"\xad", b"").translate(_LATIN).decode("latin-1")
     except UnicodeEncodeError:
         s = unicodedata.normalize("NFKC", s).lower().translate(LOOKALIKES)
         s = _OTHER.sub(" ", s)
-    return _SIGNED_WORD.sub(_signed, s) if _HAS_SIGN.search(s) else s
+    return s
+
+
+def _folded(plain: str) -> str:
+    return _SIGNED_WORD.sub(_signed, plain) if _HAS_SIGN.search(plain) else plain
+
+
+def fold_text(text: str) -> str:
+    """Lower-case words of letters with single or more blanks between, in reading order.
+    Signs at the end of a word are left out."""
+    return _folded(_plain(text))
+
+
+def readings(plain: str, longest: int) -> tuple[list[str], dict[int, list[str]]]:
+    """The folded words, and for the numbers of words that ended in signs what they read as
+    with one or more of these as letters. Readings above ``longest`` letters begin alike, so
+    those up to there tell all that entries of that length can match."""
+    if not _ENDS_SIGNED.search(plain):
+        return _folded(plain).split(), {}
+    words, others = [], {}
+    for word in plain.split():
+        folded = _folded(word)
+        if not folded:
+            continue
+        if len(folded) < len(word):
+            full = word[: max(longest, len(folded))].translate(SIGNS)
+            if ends := range(len(folded) + 1, len(full) + 1):
+                others[len(words)] = [full[:k] for k in ends]
+        words.append(folded)
+    return words, others
 
 
 @dataclass(frozen=True)
@@ -99,15 +130,51 @@ def _automaton(lexicon: Lexicon):
     return found
 
 
+@lru_cache(maxsize=4)
+def _extent(lexicon: Lexicon) -> tuple[int, int]:
+    """Letters of the longest word, and words of the longest entry or exception phrase."""
+    phrases = [p.split() for p in (*(p for p, _ in lexicon.entries), *map(fold_text, lexicon.exceptions))]
+    return max((len(w) for p in phrases for w in p), default=0), max(map(len, phrases), default=0)
+
+
+def _found(line: str, automaton) -> list[tuple[int, int, float, bool]]:
+    """(start, end, weight) of each entry in a line, and whether an exception phrase spares it."""
+    entries, phrases = [], []
+    for end, (length, weight) in automaton.iter(line):
+        (phrases if weight is None else entries).append((end - length, end, weight))
+    return [(*m, any(a <= m[0] and m[1] <= b for a, b, _ in phrases)) for m in entries]
+
+
 def matches(text: str, lexicon: Lexicon) -> tuple[list[tuple[int, int, float]], int]:
-    """(start, end, weight) in the folded text of each entry that counts, and its words."""
-    words = fold_text(text).split()
+    """(start, end, weight) in the folded text of each entry that counts, and its words.
+
+    A word with signs at its end is also read in its other ways, beside the folded words
+    around it. An entry counts once there, if no reading puts it into an exception phrase;
+    its place is that of the folded word.
+    """
+    longest, reach = _extent(lexicon)
+    words, others = readings(_plain(text), longest)
     if not words or not (lexicon.entries or lexicon.exceptions):
         return [], len(words)
-    entries, spared = [], []
-    for end, (length, weight) in _automaton(lexicon).iter(f" {' '.join(words)} "):
-        (spared if weight is None else entries).append((end - length, end, weight))
-    return [m for m in entries if not any(a <= m[0] and m[1] <= b for a, b, _ in spared)], len(words)
+    automaton = _automaton(lexicon)
+    counts = [m[:3] for m in _found(f" {' '.join(words)} ", automaton) if not m[3]]
+    ends = np.cumsum([len(w) + 1 for w in words]) if others else []
+    for at, read in others.items():
+        head = " ".join(["", *words[max(0, at - reach + 1) : at], ""])
+        tail = " ".join(["", *words[at + 1 : at + reach], ""])
+        known: set[tuple[int, str]] = set()
+        new: dict[tuple[int, str], float] = {}
+        for k, word in enumerate([words[at], *read]):
+            line = f"{head}{word}{tail}"
+            for start, end, weight, spared in _found(line, automaton):
+                if start + 1 < len(head) + len(word) and end >= len(head):
+                    if k == 0 or spared:
+                        known.add((start, line[start + 1 : end + 1]))
+                    else:
+                        new[start, line[start + 1 : end + 1]] = weight
+        there = int(ends[at])
+        counts += [(there - len(words[at]) - 1, there, w) for m, w in new.items() if m not in known]
+    return counts, len(words)
 
 
 def density(text: str, lexicon: Lexicon) -> float:

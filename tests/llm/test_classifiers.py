@@ -50,6 +50,22 @@ def test_lexicon_scores(spark, lexicon):
     assert toxicity.toxicity_score(long, lexicon) < 0.5 < toxicity.toxicity_score("ala zorgish " * 50_000, lexicon)
 
 
+@pytest.mark.parametrize("spelling", ["worthle$$", "w0r7hl355", "worthle$$!!", "W0RTHLE55!", "idi07", "1d107", "idi07!", "h4t3", "a$$", "a$$$!"])
+def test_signs_for_letters_at_the_end_of_a_word(spelling):
+    lexicon = toxicity.Lexicon(tuple((f" {w} ", 5.0) for w in ("worthless", "idiot", "hate", "ass")), ("idiot savant", "old hate"), 0.5, 4.0)
+    assert [m[2] for m in toxicity.matches(f"you {spelling} there", lexicon)[0]] == [5.0]
+    assert toxicity.matches("an idi07 savant, 0ld h4t3!", lexicon)[0] == []
+    assert toxicity.matches("as5ess idiots 1999 $$$ class5", lexicon)[0] == []
+
+
+def test_a_word_with_noise_counts_once():
+    lexicon = toxicity.Lexicon(((" zorg", 5.0), (" zorgish ", 5.0)), ("old zorgish tree",), 0.5, 4.0)
+    for text in ("say zorgish now", "say zorgish!!! now", "say zorgi$h$$$ now"):
+        assert len(toxicity.matches(text, lexicon)[0]) == 2
+    assert toxicity.matches("an old zorgish!! tree", lexicon)[0] == []
+    assert len(toxicity.matches("zorg" + "01" * 50_000, lexicon)[0]) == 1
+
+
 def test_exception_phrases():
     lexicon = toxicity.Lexicon(((" zorg", 5.0),), ("old zorg tree",), 0.5, 4.0)
     assert toxicity.matches("the old zorg tree", lexicon)[0] == []
