@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -166,26 +167,45 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> D
     Items are compared by their id as text; repeated items are one, a null id is the text
     ``null``. Null or empty texts have no words, as items they match nothing. Repeated
     documents give a row each. An empty benchmark leaves all documents clean. Other columns
-    are ignored. A benchmark beyond ``BLOCK_BYTES`` is scanned for in blocks, and the blocks'
-    hits are joined per document, which then needs distinct ids.
+    are ignored. A benchmark beyond ``BLOCK_BYTES`` is scanned for in blocks. The rows are
+    numbered in a written table then, and the blocks' hits are joined per row.
     """
     spark = docs.sparkSession
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    parts = []
-    for items in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(items)
-        parts.append(rows.mapInArrow(_scan(shared, window), FOUND))
-    if len(parts) == 1:
-        return parts[0]
+    blocks = item_blocks(benchmark)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return rows.mapInArrow(_scan(spark.sparkContext.broadcast(first), window), FOUND)
+    # Each block reads the rows anew, so their numbers must be fixed.
+    ids = F.struct(F.monotonically_increasing_id().alias("row"), "doc_id").alias("doc_id")
+    numbered = common.write_and_read(rows.select(ids, "text"), "rows")
+    found = FOUND.replace("doc_id long", "doc_id struct<row:long,doc_id:long>")
+    parts = [numbered.mapInArrow(_scan(spark.sparkContext.broadcast(items), window), found) for items in chain((first, second), blocks)]
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
-    return everything.groupBy("doc_id").agg(
+    hits = everything.groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        _maximal(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("runs", "spans"))))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    return hits.select("doc_id.doc_id", "n_words", F.col("hits.runs").alias("runs"), F.col("hits.spans").alias("spans"), "items")
+
+
+def _maximal(hits):
+    """Sorted runs of words and their spans, with those that overlap or touch as one."""
+
+    def add(held, hit):
+        last = F.get(held, F.size(held) - 1)
+        joined = F.struct(
+            F.struct(last["runs"]["first"].alias("first"), F.greatest(last["runs"]["last"], hit["runs"]["last"]).alias("last")).alias("runs"),
+            F.struct(last["spans"]["start"].alias("start"), F.greatest(last["spans"]["end"], hit["spans"]["end"]).alias("end")).alias("spans"),
+        )
+        apart = F.concat(held, F.array(hit))
+        return F.when(hit["runs"]["first"] <= last["runs"]["last"], F.concat(F.slice(held, 1, F.size(held) - 1), F.array(joined))).otherwise(apart)
+
+    empty = F.array().cast("array<struct<runs:struct<first:long,last:long>,spans:struct<start:long,end:long>>>")
+    return F.aggregate(hits, empty, add)
 
 
 def hit_words(runs: str):

@@ -59,6 +59,21 @@ def test_hits_equal_brute_force(spark, monkeypatch, block):
     assert flags == {r["doc_id"]: r["n_hit"] > 0 for r in got}
 
 
+def test_rows_without_distinct_ids_are_the_same_for_blocks(spark, monkeypatch):
+    text = sentence(random.Random(5), 60)
+    words = text.split()
+    rows = [(1, text), (1, text), (1, "clean words"), (None, text), (None, None), (None, "more clean words"), (2, " ".join(words[:25]))]
+    bench = [(k, " ".join(words[4 * k : 4 * k + 12])) for k in range(10)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = []
+    for block in (1 << 20, 100):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        got = decontaminate.benchmark_hits(documents(spark, rows), items)
+        assert got.columns == ["doc_id", "n_words", "runs", "spans", "items"]
+        found.append(sorted(repr(r) for r in got.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 def test_repeated_rows_and_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     got = decontaminate.benchmark_hits(documents(spark, [(1, "x a b"), (1, "x a b"), (None, None)]), items)
