@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import common, decontaminate, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, token_counts, topk, toxicity
+from ledgerlens.llm import (
+    common,
+    decontaminate,
+    jaccard_join,
+    language,
+    packing,
+    prefix_trie,
+    quality,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -192,3 +207,78 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), coder).select(
         "doc_id", (common.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous"
     )
+
+
+#: crc32 of a short text in SQL, as the table of one byte's steps; fixed polynomial.
+CRC_TABLE = """
+k AS (SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    FOR i IN range(256)] AS t)"""
+
+
+def _crc(text: str) -> str:
+    """SQL of the crc32 of a text of code points below 256; needs ``k`` beside it."""
+    units = f"flatten([CASE WHEN unicode(u) < 128 THEN [unicode(u)::BIGINT] ELSE [195::BIGINT, unicode(u)::BIGINT - 64] END FOR u IN string_split({text}, '')])"
+    steps = f"list_reduce(list_prepend(4294967295::BIGINT, {units}), lambda c, b: xor(c >> 8, k.t[(xor(c, b) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"
+
+
+VARIANTS_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+    r AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+        WHERE length(w) >= 6 GROUP BY ALL),
+    h AS (SELECT w, n, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM r, k),
+    c AS (SELECT CASE WHEN h % 199 = 0 THEN w[1 : h % length(w)] || w[h % length(w) + 2 :] ELSE w END AS word, n FROM h),
+    v AS (SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    d AS (SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS g FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+    p AS (SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM d a JOIN d b ON a.i = b.i AND a.g = b.g AND a.word <> b.word
+        UNION SELECT DISTINCT d.word, v.word, v.n FROM d JOIN v ON d.g = v.word
+        UNION SELECT DISTINCT v.word, d.word, d.n FROM d JOIN v ON d.g = v.word),
+    b AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS other FROM p GROUP BY word),
+    f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * v.n THEN other END AS form,
+            CASE WHEN m >= 5 * v.n THEN m END AS form_n FROM v LEFT JOIN b USING (word)),
+    t AS (SELECT word, coalesce(form, word) AS at FROM f UNION SELECT t.word, f.form FROM t JOIN f ON t.at = f.word WHERE f.form IS NOT NULL),
+    z AS (SELECT t.word, t.at AS root FROM t JOIN f ON t.at = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, z.root, f.n, f.n_near, f.form_n FROM f JOIN z USING (word)
+"""
+
+
+@query("op11_spelling_variants", VARIANTS_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(common.read(spark, sf_dir, "documents"))
+
+
+TRIE_SQL = rf"""
+WITH {CRC_TABLE},
+    o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, {_crc("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), k),
+    s AS (SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.p <= c.h
+        UNION ALL SELECT c.conv_id, 1, o.p, o.role, o.text FROM c JOIN o USING (conv_id) WHERE o.p > c.h),
+    r AS (SELECT conv_id, text, row_number() OVER w AS d, sha256(string_agg(sha256(role || chr(1) || text), ',') OVER w) AS id,
+            len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)),
+    m AS (SELECT conv_id, d, id, words FROM r UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+    e AS (SELECT conv_id, max(d) AS last FROM m GROUP BY conv_id),
+    n AS (SELECT id, any_value(d) AS depth, min(conv_id) AS conv, count(*) AS n_convs, any_value(words) AS words,
+            string_agg(CASE WHEN d = last THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends FROM m JOIN e USING (conv_id) GROUP BY id),
+    x AS (SELECT n.id, p.id AS parent, p.conv AS parent_conv FROM n LEFT JOIN (SELECT a.id AS child, b.* FROM n a JOIN m ON m.conv_id = a.conv
+            AND m.d = a.depth - 1 JOIN n b ON b.id = m.id) p ON p.child = n.id),
+    g AS (SELECT parent AS id, count(*) AS n_children FROM x WHERE parent IS NOT NULL GROUP BY parent),
+    u AS (SELECT m.id, sum(CASE WHEN g.id IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+        FROM n LEFT JOIN g USING (id) JOIN m ON m.conv_id = n.conv AND m.d <= n.depth GROUP BY m.id)
+SELECT n.conv AS conv_id, n.depth::BIGINT AS depth, x.parent_conv AS parent_conv_id, n.n_convs, coalesce(g.n_children, 0) AS n_children,
+    u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN x USING (id) JOIN u USING (id) LEFT JOIN g USING (id)
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(common.read(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{common.scratch_folder(spark)}/token-files"
+    token_files.write_token_files(common.read(spark, sf_dir, "documents"), folder)
+    return token_files.read_documents(spark, folder)
