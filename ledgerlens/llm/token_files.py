@@ -27,6 +27,8 @@ from ledgerlens.llm.wavelet import Plane, WaveletMatrix
 
 #: Tokens of a shard; it ends with the document that reaches them.
 SHARD_TOKENS = 1 << 23
+#: Positions that are looked up together.
+STRETCH = 1 << 20
 #: Cached parts of one Python worker; the cache starts anew beyond it.
 PART_CACHE = 800_000
 
@@ -238,7 +240,10 @@ def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFra
     shards = _files(spark, folder)
     spans = _starts(shards).join(shards.select("part", "shard", "n_tokens"), ["part", "shard"])
     asked = positions.select(F.col("position").cast("long").alias("position")).filter("position >= 0").distinct()
-    # Shards are few next to positions; a range join finds each position's one.
-    met = asked.join(spans, (F.col("position") >= F.col("base")) & (F.col("position") < F.col("base") + F.col("n_tokens")))
+    # Positions and shards meet by the stretch of positions they are in.
+    first, last = (F.floor(F.col("base") / STRETCH), F.floor((F.col("base") + F.col("n_tokens") - 1) / STRETCH))
+    spans = spans.filter("n_tokens > 0").withColumn("stretch", F.explode(F.sequence(first, last)))
+    inside = (F.col("position") >= F.col("base")) & (F.col("position") < F.col("base") + F.col("n_tokens"))
+    met = asked.withColumn("stretch", F.floor(F.col("position") / STRETCH)).join(spans, "stretch").filter(inside)
     by_shard = met.groupBy("part", "shard", "base").agg(F.collect_list(F.col("position") - F.col("base")).alias("places"))
     return shards.join(by_shard, ["part", "shard"]).mapInArrow(_access, TOKENS)
