@@ -25,6 +25,7 @@ from ledgerlens.functions.aggregates import over_windows, regression_over_window
 from ledgerlens.operators import trailing, windows
 from ledgerlens.plans import buyer_profile, concentration, grains, night, sales_reports, seller_features, two_phase
 from ledgerlens.sources import star_tables
+from ledgerlens.sources.store import materialize
 
 DAILY_COUNTS = [
     "daily_invoice_count",
@@ -65,7 +66,9 @@ DAILY_EXACT = [
     ),
 )
 def agg_daily_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(inputs.daily(spark, sf_dir), 4, {"daily_std_invoice_value"})
+    """The daily table from written typed rows, as a run builds it: invoices are read once."""
+    rows = materialize(inputs.typed(spark, sf_dir), "rows")
+    return plain(grains.daily_sellers(grains.day_grain(rows)), 4, {"daily_std_invoice_value"})
 
 
 STAGED_MONTHS = ["199711", "199712"]

@@ -14,6 +14,7 @@ from ledgerlens.operators import joins, windows
 from ledgerlens.plans import balances, grains, related
 from ledgerlens.sources import invoices as inv
 from ledgerlens.sources import star_tables
+from ledgerlens.sources.store import materialize
 
 ADJUSTED = """adjusted AS (
     SELECT i.*, CASE CAST(i.{code} AS INT)
@@ -496,7 +497,7 @@ def related_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> related.RevenueLinks:
-    rows = recent_trades(spark, sf_dir)
+    rows = materialize(recent_trades(spark, sf_dir), "trades")
     return related.revenue_links(rows, related.trading_relations(rows, inputs.contacts(spark, sf_dir)))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ledgerlens.operators.skew import ROWS_PER_TASK, spread_join
+from ledgerlens.operators.skew import ROWS_PER_TASK, known_heavy, salted_join
+from ledgerlens.sources.store import materialize
 
 # Adjustment codes that change what an invoice is worth.
 MONEY_ADJUSTMENT = 9
@@ -26,6 +27,7 @@ def adjusted_amount(
     replacement_code: int = REPLACEMENT,
     value_col: str = "with_vat_foreign",
     rows_per_task: int = ROWS_PER_TASK,
+    original_if: Column | None = None,
 ) -> DataFrame:
     """Add ``adjusted_sale``: own amount plus the original's for a money adjustment,
     the original's for a replacement, else the own amount. Missing amounts are zero.
@@ -33,8 +35,10 @@ def adjusted_amount(
     Only correcting invoices need their original, and most invoices have none. The
     others get one of ``SPREAD`` artificial keys instead of a shared null, so they
     never pile up in one task. The lookup holds only originals that are asked for,
-    one row per id and month, so the join cannot fan out. An original that very many
-    invoices correct is spread over tasks; the others are not copied.
+    one row per id and month, so the join cannot fan out. It is written by one pass in
+    which amounts and demands meet, which also tells the originals that very many invoices
+    correct; those are spread over tasks, the others are not copied. ``originals`` may be
+    ``invoices`` itself, of which ``original_if`` may rule out some.
     """
     code = F.col(code_col).try_cast("int")
     needs = F.coalesce(code.isin(money_code, replacement_code), F.lit(False)) & F.col("original_invoice").isNotNull()
@@ -43,13 +47,23 @@ def adjusted_amount(
     original = F.coalesce(F.col("_original_value"), F.lit(0).cast(amount))
 
     keys = ["_lookup", "partition_month"]
+    valid = F.lit(True) if original_if is None else F.coalesce(original_if, F.lit(False))
+    value = F.when(valid, F.col(value_col).try_cast(amount))
+
+    def entry(of: str, worth_of: Column, asked: int) -> Column:
+        return F.struct(F.col(of).cast("string").alias("_lookup"), worth_of.alias("_value"), F.lit(asked).cast("long").alias("_asked"))
+
+    offer, demand = entry("invoice_id", value, 0), entry("original_invoice", F.lit(None).cast(amount), 1)
+    both = F.when(needs, F.array(offer, demand)).otherwise(F.array(offer))
+    if originals is invoices:
+        entries = invoices.select("partition_month", F.explode(both).alias("e"))
+    else:
+        entries = originals.select("partition_month", offer.alias("e")).unionByName(invoices.filter(needs).select("partition_month", demand.alias("e")))
+    lookup = entries.select("partition_month", "e.*").groupBy(*keys).agg(F.max("_value").alias("_original_value"), F.sum("_asked").alias("_asked"))
+    lookup = materialize(lookup.filter((F.col("_asked") > 0) & F.col("_lookup").isNotNull()), "originals")
     keyed = invoices.withColumn("_lookup", F.when(needs, F.col("original_invoice").cast("string")).otherwise(filler))
-    wanted = keyed.filter(needs).select(*keys).distinct()
-    values = originals.groupBy(F.col("invoice_id").cast("string").alias("_lookup"), "partition_month").agg(
-        F.max(F.col(value_col).try_cast(amount)).alias("_original_value")
-    )
-    lookup = values.join(wanted, keys, "left_semi")
-    joined = spread_join(keyed, lookup, keys, ["invoice_id", "seller", "buyer"], "left", rows_per_task)
+    heavy = known_heavy(lookup, keys, rows_per_task, F.col("_asked"))
+    joined = salted_join(keyed, lookup.drop("_asked"), keys, ["invoice_id", "seller", "buyer"], "left", heavy)
     worth = F.when(code == money_code, own + original).when(code == replacement_code, original).otherwise(own)
     return joined.withColumn("adjusted_sale", worth.cast(amount)).drop("_lookup", "_original_value")
 

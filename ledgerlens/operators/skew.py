@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key that a task takes before the key is spread over several.
@@ -14,17 +14,31 @@ HEAVY_KEYS = 10_000
 _SALT, _PARTS = "_salt", "_parts"
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def heavy_keys(
+    df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK, weight: Column | None = None
+) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows, and over how many parts to spread them.
 
     Counts combine before the shuffle, and at most ``HEAVY_KEYS`` of them, the largest,
-    are returned, so the table may be broadcast whatever the size of the data.
+    are returned, so the table may be broadcast whatever the size of the data. ``weight``
+    tells how many rows a row of ``df`` stands for.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*on).agg(size.alias("_n")).filter(F.col("_n") > rows_per_task)
     largest = counts.orderBy(F.desc("_n"), *on).limit(HEAVY_KEYS)
     return largest.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(_PARTS))
 
 
+def known_heavy(
+    df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK, weight: Column | None = None
+) -> DataFrame | None:
+    """:func:`heavy_keys`, counted now and once: None if there are none, as mostly. For
+    written tables, whose count is cheap and then not repeated in every join."""
+    found = heavy_keys(df, on, rows_per_task, weight)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
@@ -40,7 +54,16 @@ def spread_join(
     repeated. All other keys join as they are. The result is that of the plain join for
     inner, left, semi and anti joins.
     """
-    heavy = F.broadcast(heavy_keys(big, on, rows_per_task))
+    return salted_join(big, small, on, spread_by, how, heavy_keys(big, on, rows_per_task))
+
+
+def salted_join(
+    big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str, heavy: DataFrame | None
+) -> DataFrame:
+    """:func:`spread_join` for heavy keys that are known (None: there are none)."""
+    if heavy is None:
+        return big.join(small, list(on), how)
+    heavy = F.broadcast(heavy)  # at most HEAVY_KEYS rows
     salt = F.when(F.col(_PARTS).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), F.col(_PARTS)).cast("int"))
     salted = big.join(heavy, list(on), "left").withColumn(_SALT, salt).drop(_PARTS)
     parts = F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)

@@ -1,7 +1,7 @@
 """Ordered operators.
 
 Windows run over grains whose partitions the calendar bounds (days of a seller,
-days of a month). Rankings over partners, whose number has no bound, always keep
+days of a month), and none lacks a partition key but over dates. Rankings over partners, whose number has no bound, always keep
 ``row_number() <= k`` as a filter, which Spark also applies before the shuffle.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalars import ratio
+from ledgerlens.sources.store import materialize
 
 
 def ranked(df: DataFrame, keys: Sequence[str], metric: str, tie: str, name: str, largest: bool = True) -> DataFrame:
@@ -84,9 +85,9 @@ def largest_gap(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataF
 def at_extreme(df: DataFrame, metric: str, largest: bool = True) -> DataFrame:
     """Rows whose metric equals the overall maximum (or minimum); ties are kept.
 
-    The metric is evaluated once and ranked. Every task passes on only its own rows of
-    rank one, so the last step sees few rows. Null metrics take no part.
+    The metric is written once. Its extreme is one row, which is broadcast, so tied rows stay
+    in the tasks they are in, however many they are. Null metrics take no part.
     """
-    order = F.desc(metric) if largest else F.asc(metric)
-    known = df.filter(F.col(metric).isNotNull())
-    return known.withColumn("_rank", F.rank().over(Window.orderBy(order))).filter("_rank = 1").drop("_rank")
+    rows = materialize(df, "extremes")
+    edge = rows.agg((F.max(metric) if largest else F.min(metric)).alias("_edge")).filter("_edge IS NOT NULL")
+    return rows.join(F.broadcast(edge), F.col(metric) == F.col("_edge")).drop("_edge")  # one row

@@ -38,13 +38,10 @@ def attribute_modes(invoices: DataFrame, attributes: Sequence[str] = ATTRIBUTES)
     )
     of_attribute = {name: F.col("attribute") == name for name in attributes}
     counts = counted.groupBy(*PERIOD_BUYER).agg(*[count_if(mine).alias(f"count_{n}") for n, mine in of_attribute.items()])
-    modes = (
-        windows.top_rows(counted, [*PERIOD_BUYER, "attribute"], "n", "value", 1)
-        .groupBy(*PERIOD_BUYER)
-        .pivot("attribute", list(attributes))
-        .agg(F.first("value"))
-    )
-    named = modes.select(*PERIOD_BUYER, *[F.col(n).alias(f"most_freq_{n}") for n in attributes])
+    best = windows.top_rows(counted, [*PERIOD_BUYER, "attribute"], "n", "value", 1)
+    # One entry per attribute, laid side by side from a map: a pivot of texts would sort.
+    modes = best.groupBy(*PERIOD_BUYER).agg(F.map_from_entries(F.collect_list(F.struct("attribute", "value"))).alias("mode"))
+    named = modes.select(*PERIOD_BUYER, *[F.col("mode")[n].alias(f"most_freq_{n}") for n in attributes])
     return counts.join(named, list(PERIOD_BUYER), "left").select(
         *PERIOD_BUYER, *[c for n in attributes for c in (f"count_{n}", f"most_freq_{n}")]
     )

@@ -327,10 +327,16 @@ def raw_monthly(grain: DataFrame, partners: DataFrame, only: Sequence[dt.date] |
         base = partner_extremes(partners.filter(F.col("month_start").isin(starts)))
         base = base.join(with_previous_month(active).filter(wanted), list(SELLER_MONTH))
         gaps = gaps.filter(wanted)
+    return with_gaps(base, gaps)
+
+
+def with_gaps(base: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Buyer-side and gap features of the same months in the published order."""
     per_buyer = ratio(F.col("monthly_total_sales_buyer_taxcode"), F.col("monthly_distinct_buyer_count"), None)
     previous = ["prev_report_date", "mth_cnt_no_rev"]
     return base.join(gaps, list(SELLER_MONTH), "left").select(
-        *[c for c in base.columns if c not in previous],
+        *SELLER_MONTH,
+        *[c for c in base.columns if c not in (*SELLER_MONTH, *previous)],
         *[c for c in gaps.columns if c not in SELLER_MONTH],
         per_buyer.alias("Sales_amt_per_buyer_taxcode"),
         *previous,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import dates
 from ledgerlens.functions.aggregates import mean
 from ledgerlens.functions.scalars import at_least, ratio
-from ledgerlens.operators import trailing, windows
+from ledgerlens.operators import month_states, trailing, windows
 from ledgerlens.plans import grains
 from ledgerlens.sources.invoices import CURRENT, InvoicePolicy, analysis_rows
 from ledgerlens.sources.store import materialize
@@ -164,19 +164,80 @@ def buyer_concentration(partners: DataFrame, keys: Sequence[str] = KEYS) -> Data
     )
 
 
-def top_day_shares() -> list[str]:
+def top_day_shares(total: str = "direct['l12m'].top{0}_days_sales") -> list[str]:
     """Share of the best days in the buyer-side total, which is the published formula.
 
     The total comes from the partner table, which omits invoices without a buyer and
     by default ignores the status filter, so a share may exceed one.
     """
     return [
-        f"CASE WHEN seller_total_sales_l12m > 0 THEN CAST(direct['l12m'].top{k}_days_sales AS DOUBLE)"
+        f"CASE WHEN seller_total_sales_l12m > 0 THEN CAST({total.format(k)} AS DOUBLE)"
         f" / CAST(seller_total_sales_l12m AS DOUBLE) ELSE 0D END AS top{k}_days_concentration_l12m"
         for k in TOP_DAYS
     ]
 
 
+# Measures that are whole numbers, and those whose values or largest values a state keeps.
+WHOLE = (
+    "daily_invoice_count",
+    "daily_buyer_count",
+    "daily_invoice_adjusted_count",
+    "daily_distinct_payment_methods",
+    "daily_distinct_transport",
+    "days_gap",
+)
+KEPT_RUNS = tuple(c for c, functions in DIRECT.items() if "med" in functions)
+KEPT_BEST = ("daily_total_sales",)
+
+
+def states_of_days(grain: DataFrame) -> DataFrame:
+    """Month states of all direct measures: what a window needs instead of its days."""
+    daily = month_states.with_gap(grains.daily_sellers(grain), ["mst_seller"], "report_date")
+    return month_states.month_states(daily, ["mst_seller"], "report_date", list(DIRECT), KEPT_RUNS, KEPT_BEST)
+
+
+def _best_days(k: int | str) -> str:
+    best = f"slice(states['daily_total_sales'][3].best, 1, {k})"
+    return f"IF(size({best}) > 0, aggregate({best}, 0D, (a, v) -> a + v), NULL)"
+
+
+def unpack_direct_states() -> list[str]:
+    """As :func:`unpack_direct`, from merged month states."""
+    active = [f"{month_states.statistic(f"states['daily_invoice_count'][{i}]", 'count')} AS active_days_{w}" for i, w in enumerate(dates.TRAILING_MONTHS)]
+    best = [f"{_best_days(k)} AS top{k}_days_sales_l12m" for k in TOP_DAYS]
+    return month_states.unpack_states(DIRECT, whole=WHOLE) + active + best
+
+
+def _wide(
+    direct: DataFrame,
+    direct_columns: list[str],
+    shares: list[str],
+    months: DataFrame,
+    pairs: DataFrame,
+    this_month: DataFrame,
+    night: bool,
+) -> DataFrame:
+    """The groups joined while their statistics are packed, then spread into columns once.
+
+    ``direct`` has one row per key; ``months`` and ``pairs`` are trailing frames.
+    """
+    narrow = [night_flag(months)] if night else []
+    narrow += [buyer_concentration(pairs), this_month]
+    table = direct.join(pack_monthly(months), list(KEYS), "left")
+    for group in narrow:
+        table = table.join(group, list(KEYS), "left")
+    added = [f"`{c}`" for group in narrow for c in group.columns if c not in KEYS]
+    return table.selectExpr(
+        "as_of AS report_date",
+        "mst_seller",
+        *direct_columns,
+        *unpack_monthly(monthly_metrics(months)),
+        *added,
+        *shares,
+        *unpack_month_gaps(),
+    )
+
+
 def seller_features(
     grain: DataFrame,
     partners: DataFrame,
@@ -187,8 +248,7 @@ def seller_features(
 
     ``grain`` and ``partners`` are the full-history day and partner grains. The daily
     table is hashed on the seller once; windows, monthly roll-up and both wide
-    aggregates all work within that layout. The groups are joined while their
-    statistics are still packed, and spread into columns once at the end.
+    aggregates all work within that layout.
     """
     last_days = [dates.last_closed_day(d) for d in run_dates]
     first, last = dates.month_start(min(last_days), 11), max(last_days)
@@ -199,21 +259,32 @@ def seller_features(
     months = dates.trailing_frame(grains.month_grain(daily), "report_date", last_days)
     pairs = dates.trailing_frame(grains.buyer_months(partners), "month_start", last_days)
     this_month = grains.raw_monthly(grain, partners, last_days).withColumnRenamed("report_date", "as_of")
+    return _wide(pack_direct(days), unpack_direct(), top_day_shares(), months, pairs, this_month, night)
 
-    narrow = [night_flag(months)] if night else []
-    narrow += [buyer_concentration(pairs), this_month]
-    table = pack_direct(days).join(pack_monthly(months), list(KEYS), "left")
-    for group in narrow:
-        table = table.join(group, list(KEYS), "left")
-    added = [f"`{c}`" for group in narrow for c in group.columns if c not in KEYS]
-    return table.selectExpr(
-        "as_of AS report_date",
-        "mst_seller",
-        *unpack_direct(),
-        *unpack_monthly(monthly_metrics(months)),
-        *added,
-        *top_day_shares(),
-        *unpack_month_gaps(),
+
+def features_from_states(
+    states: DataFrame,
+    months: DataFrame,
+    partners: DataFrame,
+    this_month: DataFrame,
+    run_dates: Sequence[dt.date],
+    night: bool = False,
+) -> DataFrame:
+    """As :func:`seller_features`, without looking at days.
+
+    ``states`` and ``months`` hold the month states and the month grain, ``partners`` the
+    partner grain, of the last twelve months at least. ``this_month`` has the raw monthly
+    features of each report date's own month (:func:`carry.raw_month`).
+    """
+    last_days = [dates.last_closed_day(d) for d in run_dates]
+    return _wide(
+        month_states.window_states(states, ["mst_seller"], last_days),
+        unpack_direct_states(),
+        top_day_shares(_best_days("{0}")),
+        dates.trailing_frame(months, "report_date", last_days),
+        dates.trailing_frame(grains.buyer_months(partners), "month_start", last_days),
+        this_month.withColumnRenamed("report_date", "as_of"),
+        night,
     )
 
 

@@ -1,4 +1,9 @@
-"""Month-by-month staging and feature runs over catalog tables."""
+"""Month-by-month staging and feature runs over catalog tables.
+
+A month is staged as day, partner and month grain, as mergeable states of its daily
+measures, and as the carry behind it. A feature run then merges at most twelve states and
+reads the days of no month but the one it reports on.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates
-from ledgerlens.plans import grains
-from ledgerlens.plans.seller_features import seller_features
+from ledgerlens.plans import carry, grains
+from ledgerlens.plans.seller_features import features_from_states, states_of_days
 from ledgerlens.sources.invoices import CURRENT, InvoicePolicy, analysis_rows, month_slice
 from ledgerlens.sources.schema import NAMED_LAYOUT, to_logical
 from ledgerlens.sources.store import replace_partitions
@@ -22,11 +27,21 @@ SOURCE_KEY = "source_month"
 
 @dataclass(frozen=True)
 class Tables:
+    """Table names. Those left out are named after the table of days."""
+
     invoices: str
     rows: str
     days: str
     partners: str
     features: str
+    months: str = ""
+    states: str = ""
+    carry: str = ""
+
+    def __post_init__(self) -> None:
+        for name in ("months", "states", "carry"):
+            if not getattr(self, name):
+                object.__setattr__(self, name, f"{self.days}_{name}")
 
 
 def rows_by_month(typed: DataFrame, source_month: Column) -> DataFrame:
@@ -85,26 +100,78 @@ def stage(
     for run_date in sorted(run_dates):
         invoices = month_slice(to_logical(spark.table(tables.invoices), layout), run_date)
         touched |= _refresh_rows(spark, tables, invoices, dates.closed_month_key(run_date), policy)
-    staged = {p[STAGE_KEY] for p in _partitions(spark, tables.days)}
-    for month in sorted(set(wanted) | (touched & staged)):
+    staged = _staged(spark, tables.days)
+    again = sorted(set(wanted) | (touched & staged))
+    for month in again:
         days, partners = grains_of_months(spark.table(tables.rows), [month], policy)
-        replace_partitions(days, tables.days, [STAGE_KEY], {STAGE_KEY: [month]})
-        replace_partitions(partners, tables.partners, [STAGE_KEY], {STAGE_KEY: [month]})
+        _put(days, tables.days, month)
+        _put(partners, tables.partners, month)
+        _stage_states(spark, tables, month)
+    # A changed month changes the carry behind it and behind all later ones.
+    for month in sorted(m for m in staged | set(again) if m >= again[0]):
+        _stage_carry(spark, tables, month)
+
+
+def _put(df: DataFrame, table: str, month: str) -> None:
+    replace_partitions(df, table, [STAGE_KEY], {STAGE_KEY: [month]})
+
+
+def _staged(spark: SparkSession, table: str) -> set[str]:
+    return {p[STAGE_KEY] for p in _partitions(spark, table)}
+
+
+def _of(spark: SparkSession, table: str, first: str, last: str | None = None) -> DataFrame:
+    """The rows staged for one month, or for all months from the first to the last."""
+    return spark.table(table).filter(F.col(STAGE_KEY).between(first, last or first)).drop(STAGE_KEY)
+
+
+def _stage_states(spark: SparkSession, tables: Tables, month: str) -> None:
+    days = _of(spark, tables.days, month)
+    stage_month = F.lit(month).alias(STAGE_KEY)
+    _put(grains.month_grain(grains.daily_sellers(days)).select("*", stage_month), tables.months, month)
+    _put(states_of_days(days).select("*", stage_month), tables.states, month)
+
+
+def _carry_before(spark: SparkSession, tables: Tables, month: str) -> DataFrame | None:
+    """The carry behind the last staged month before ``month``."""
+    before = max((m for m in _staged(spark, tables.carry) if m < month), default=None)
+    return None if before is None else _of(spark, tables.carry, before)
+
+
+def _stage_carry(spark: SparkSession, tables: Tables, month: str) -> None:
+    parts = (_of(spark, t, month) for t in (tables.days, tables.partners, tables.months))
+    behind = carry.advance(_carry_before(spark, tables, month), *parts)
+    _put(behind.withColumn(STAGE_KEY, F.lit(month)), tables.carry, month)
+
+
+def unread_partitions(spark: SparkSession, tables: Tables) -> list[str]:
+    """Source partitions that were never read. Their rows, also those dated in months that
+    are staged, are missing from all features."""
+    read = {p[SOURCE_KEY] for p in _partitions(spark, tables.rows)}
+    return sorted({p["partition_month"] for p in _partitions(spark, tables.invoices)} - read)
 
 
 def build_features(
     spark: SparkSession, tables: Tables, run_dates: Sequence[dt.date], policy: InvoicePolicy = CURRENT
 ) -> None:
-    """Feature rows of every run date from the staged grains, in one pass.
+    """Feature rows of every run date, in one pass over staged tables.
 
-    Gaps and previous months see all staged history, so a month-by-month run gives
+    Windows merge the states of at most twelve months. Gaps and previous months see all
+    history through the carry in front of the reported month, so a month-by-month run gives
     the same rows as one over everything.
     """
-    upto = dates.closed_month_key(max(run_dates))
-    staged = F.col(STAGE_KEY) <= upto
-    days = spark.table(tables.days).filter(staged).drop(STAGE_KEY)
-    partners = spark.table(tables.partners).filter(staged).drop(STAGE_KEY)
-    features = seller_features(days, partners, run_dates, night=policy.night_flag)
+    last_days = sorted(dates.last_closed_day(d) for d in set(run_dates))
+    reported = [d.strftime("%Y%m") for d in last_days]
+    first = dates.month_start(last_days[0], 11).strftime("%Y%m")
+    this_month: DataFrame | None = None
+    for month in sorted(set(reported)):
+        before = _carry_before(spark, tables, month)
+        if before is None:
+            before = _of(spark, tables.carry, "")  # nothing was staged earlier: no rows
+        found = carry.raw_month(_of(spark, tables.days, month), _of(spark, tables.partners, month), before)
+        this_month = found if this_month is None else this_month.unionByName(found)
+    staged = (_of(spark, t, first, reported[-1]) for t in (tables.states, tables.months, tables.partners))
+    features = features_from_states(*staged, this_month, run_dates, night=policy.night_flag)
     replace_partitions(features, tables.features, ["report_date"])
 
 

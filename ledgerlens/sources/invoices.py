@@ -98,8 +98,8 @@ def analysis_rows(invoices: DataFrame, policy: InvoicePolicy = CURRENT) -> DataF
         return F.col(name).try_cast(policy.amount)
 
     if policy.sale == "adjusted":
-        originals = invoices.filter(is_issued()) if policy.issued_originals else invoices
-        invoices = adjusted_amount(invoices, originals, policy.amount)
+        only = is_issued() if policy.issued_originals else None
+        invoices = adjusted_amount(invoices, invoices, policy.amount, original_if=only)
         sale = F.col("adjusted_sale")
     else:
         sale = amount("sale")

@@ -50,11 +50,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, weakref.ref(spark), path)
+    remove_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the process ends."""
+    atexit.register(_remove, weakref.ref(spark), path)
+
+
 def _remove(session: weakref.ref, path: str) -> None:
     spark = session()
     if spark is not None and spark.sparkContext._jsc is not None:
@@ -153,22 +158,101 @@ def replaced_rows(target: DataFrame, source: DataFrame, partition_cols: Sequence
     return target.join(touched, list(partition_cols), "left_anti").select(*target.columns).unionByName(source)
 
 
+#: Parts a key index is divided in. Stored indexes depend on it.
+INDEX_PARTS = 64
+INDEX_PART = "_part"
+
+
+class KeyIndex:
+    """Which partition of a table each key is in, as a slim table beside it.
+
+    A key may be listed with more partitions than it is in, never with fewer: the new
+    places are added before the table is written, old ones removed after it, so a merge that
+    was lost in between is repaired by the next. Its own partitions are parts of the keys'
+    hashes, of which a merge rewrites those its keys fall in.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, keys: Sequence[str], partition: str, anew: bool = False) -> None:
+        """``anew`` makes the index from the table again, as is needed after other writers."""
+        self.spark, self.name, self.keys, self.partition = spark, f"{table}__keys", list(keys), partition
+        if anew:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if not spark.catalog.tableExists(self.name):
+            self._write(spark.table(table).select(*self.keys, partition), new=True)
+
+    def _entries(self, rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(INDEX_PARTS)).cast("int")
+        return rows.select(*self.keys, F.col(self.partition).alias("_place")).distinct().withColumn(INDEX_PART, part)
+
+    def _write(self, rows: DataFrame, new: bool = False) -> None:
+        entries = self._entries(rows) if new else rows
+        entries = entries.hint("rebalance", INDEX_PART)
+        if new:
+            entries.write.partitionBy(INDEX_PART).saveAsTable(self.name)
+            return
+        with _dynamic_overwrite(self.spark):
+            entries.select(*self.keys, "_place", INDEX_PART).write.insertInto(self.name, overwrite=True)
+        self.spark.catalog.refreshTable(self.name)
+
+    def _touched(self, entries: DataFrame) -> DataFrame:
+        parts = [r[0] for r in entries.select(INDEX_PART).distinct().collect()]  # at most INDEX_PARTS
+        return self.spark.table(self.name).filter(F.col(INDEX_PART).isin(parts))
+
+    def places(self, source: DataFrame) -> list[object]:
+        """Partitions that hold a key of ``source``; bounded by the partitions."""
+        entries = self._entries(source)
+        return [r[0] for r in self._touched(entries).join(entries.select(*self.keys), self.keys, "left_semi").select("_place").distinct().collect()]
+
+    def add(self, source: DataFrame) -> None:
+        """Every key of ``source`` is in its partition too."""
+        entries = self._entries(source)
+        self._write(self._touched(entries).select(*self.keys, "_place", INDEX_PART).union(entries).distinct())
+
+    def settle(self, source: DataFrame) -> None:
+        """Every key of ``source`` is in its partition alone."""
+        entries = self._entries(source)
+        others = self._touched(entries).join(entries.select(*self.keys), self.keys, "left_anti")
+        self._write(others.select(*self.keys, "_place", INDEX_PART).union(entries))
+
+
+def _partition_text(value: object) -> str:
+    return str(value).replace("'", "\\'")
+
+
 def upsert(df: DataFrame, table: str, keys: Sequence[str], partition: str, latest: Sequence[Column]) -> None:
     """Merge rows into a partitioned table: matching keys are replaced, new ones added.
 
-    Only touched partitions are rewritten. Source rows with equal keys are reduced to the
-    first by ``latest``; that is written once and read by the three uses of it. A key is
-    expected to stay in its partition.
+    Source rows with equal keys are reduced to the first by ``latest``; that is written once
+    and read by all uses of it. A key that was in another partition leaves it: the
+    :class:`KeyIndex` beside the table names the partitions to look in. Only these and the
+    source's own are read and rewritten; those that lost their last row are dropped. The
+    partition column holds no nulls.
     """
     spark = df.sparkSession
     unique = materialize(latest_rows(df, keys, latest), "upsert")
     if not spark.catalog.tableExists(table):
         unique.hint("rebalance", partition).write.partitionBy(partition).saveAsTable(table)
+        KeyIndex(spark, table, keys, partition, anew=True)
         return
-    merged = merged_rows(spark.table(table), unique, keys, partition).hint("rebalance", partition)
+    index = KeyIndex(spark, table, keys, partition)
+    left = index.places(unique)
+    gaining = [r[0] for r in unique.select(partition).distinct().collect()]  # bounded by the partitions
+    index.add(unique)
+    here = spark.table(table).filter(F.col(partition).isin(sorted({*left, *gaining}, key=str)))
+    written = Observation()
+    merged = moved_rows(here, unique, keys).observe(written, F.collect_set(F.col(partition).cast("string")).alias("values"))
     with _dynamic_overwrite(spark):
-        merged.write.insertInto(table, overwrite=True)
+        merged.hint("rebalance", partition).write.insertInto(table, overwrite=True)
+    for value in sorted({str(v) for v in left} - set(written.get["values"])):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition}` = '{_partition_text(value)}')")
     spark.catalog.refreshTable(table)
+    index.settle(unique)
+
+
+def moved_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` with the rows of ``source`` instead of its own of the same keys, wherever
+    these were. ``source`` is unique on its keys."""
+    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source).select(*target.columns)
 
 
 def upsert_features(

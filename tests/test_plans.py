@@ -86,9 +86,23 @@ def test_only_heavy_keys_are_copied(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_extremes_are_cut_before_the_last_task(spark):
-    text = plan(queries()["agg_argmax_ties"](spark, SF_DIR))
-    assert text.index("WindowGroupLimit") != text.rindex("WindowGroupLimit")
+@pytest.mark.parametrize("name", ["agg_argmax_ties", "agg_argmax_ties_frequent", "agg_argmin_ties", "agg_discount_top_buyers"])
+def test_tied_rows_stay_where_they_are(spark, name):
+    """No window, and what is broadcast is the one extreme."""
+    text = plan(queries()[name](spark, SF_DIR))
+    assert "Window" not in text and "BroadcastHashJoin" in text
+
+
+def test_modes_do_not_sort(spark):
+    assert "SortAggregate" not in plan(queries()["agg_attribute_mode"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(
+    "name, scans",
+    [("related_pairs", 3), ("related_detail_text", 3), ("pair_generation", 3), ("revenue_links", 5), ("join_adjusted_sales", 2), ("agg_daily_seller", 2)],
+)
+def test_tables_are_read_once(spark, name, scans):
+    assert plan(queries()[name](spark, SF_DIR)).count("FileScan") <= scans
 
 
 def test_a_dominant_key_is_spread(spark):

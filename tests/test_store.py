@@ -126,3 +126,40 @@ def test_availability_gate(spark):
     store.require_available({"late": sources["late"]}, [dt.date(2024, 12, 20)])
     with pytest.raises(RuntimeError, match="empty"):
         store.require_available(sources, [dt.date(2024, 12, 21)])
+
+
+def test_upsert_finds_the_old_row_of_a_moved_key(spark, table):
+    order = [F.desc("daily_total_sales")]
+    store.upsert(frame(spark, M1 + M2[1:]), table, ["mst_seller"], "report_date", order)
+    store.upsert(frame(spark, [("A", 7.0, "2025-01-31"), ("D", 1.0, "2024-12-31")]), table, ["mst_seller"], "report_date", order)
+    want = [("A", 7.0, "2025-01-31"), ("B", 200.0, "2024-12-31"), ("C", 400.0, "2025-01-31"), ("D", 1.0, "2024-12-31")]
+    assert content(spark, table) == want
+    # A's old partition lost its last row and is gone.
+    assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()) == ["report_date=2024-12-31", "report_date=2025-01-31"]
+    for _ in range(2):
+        store.upsert(frame(spark, [("A", 8.0, "2024-12-30")]), table, ["mst_seller"], "report_date", order)
+    assert content(spark, table) == [("A", 8.0, "2024-12-30"), *want[1:]]
+
+
+def test_upsert_reads_only_the_partitions_of_its_keys(spark, table):
+    order = [F.desc("daily_total_sales")]
+    store.upsert(frame(spark, M1 + M2 + M3).filter("mst_seller <> 'A'"), table, ["mst_seller", "daily_total_sales"], "report_date", order)
+    source = frame(spark, [("B", 500.0, "2024-12-31")])
+    index = store.KeyIndex(spark, table, ["mst_seller", "daily_total_sales"], "report_date")
+    assert [str(d) for d in index.places(source)] == ["2025-02-27"]
+    here = spark.table(table).filter(F.col("report_date").isin(index.places(source)))
+    assert "2025-02-27" in here._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("]")[0]
+
+
+def test_upsert_repairs_a_merge_that_was_lost(spark, table):
+    """Keys were noted for their new partition, but the table was not written."""
+    order = [F.desc("daily_total_sales")]
+    store.upsert(frame(spark, M1), table, ["mst_seller"], "report_date", order)
+    store.KeyIndex(spark, table, ["mst_seller"], "report_date").add(frame(spark, [("A", 5.0, "2025-01-31")]))
+    assert content(spark, table) == sorted(M1)
+    store.upsert(frame(spark, [("A", 6.0, "2025-02-28")]), table, ["mst_seller"], "report_date", order)
+    assert content(spark, table) == [("A", 6.0, "2025-02-28"), M1[1]]
+    # After other writers the index is made anew.
+    store.overwrite_table(frame(spark, M3), table, ["report_date"])
+    index = store.KeyIndex(spark, table, ["mst_seller"], "report_date", anew=True)
+    assert sorted(str(d) for d in index.places(frame(spark, M3))) == ["2025-02-27", "2025-02-28"]
