@@ -9,7 +9,9 @@ import tempfile
 import uuid
 import weakref
 import zipfile
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -53,23 +55,67 @@ def scratch_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix=f"{SCRATCH}-")
     path = f"{root}/{SCRATCH}-{uuid.uuid4().hex}"
+    _scopes[-1].folders.append(path)
     atexit.register(_remove, weakref.ref(spark), path)
     return path
 
 
 def _remove(session: weakref.ref, path: str) -> None:
     spark = session()
-    if spark is None or spark.sparkContext._jsc is None:
-        return
+    if spark is not None and spark.sparkContext._jsc is not None:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+@dataclass
+class Scratch:
+    """Folders and tables that a piece of work left in the shared folder."""
+
+    folders: list[str] = field(default_factory=list)
+    tables: list[str] = field(default_factory=list)
+
+
+#: What is there, by the work in hand; the last one owns what is written now.
+_scopes: list[Scratch] = [Scratch()]
+
+
+@contextmanager
+def scope() -> Iterator[Scratch]:
+    """Owns what is written inside, for :func:`clear` once its result is elsewhere."""
+    own = Scratch()
+    _scopes.append(own)
+    try:
+        yield own
+    finally:
+        _scopes.remove(own)
+
+
+def clear(spark: SparkSession, own: Scratch) -> None:
+    """Drop the tables and delete the folders of a scope."""
+    for table in own.tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for path in own.folders:
+        _delete(spark, path)
+    own.tables.clear()
+    own.folders.clear()
+
+
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder."""
     path = f"{scratch_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._ledger_path = path
+    return found
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table of :func:`write_and_read` that nothing will read again."""
+    _delete(written.sparkSession, written._ledger_path)
 
 
 def release(spark: SparkSession) -> None:
@@ -140,7 +186,10 @@ def distinct_texts(docs: DataFrame) -> DistinctTexts:
     name = f"ledgerlens_nodes_{uuid.uuid4().hex}"
     path = f"{scratch_folder(spark)}/nodes"
     nodes.repartition(n, "key").write.bucketBy(n, "key").option("path", path).option("compression", "zstd").saveAsTable(name)
+    _scopes[-1].tables.append(name)
     del nodes
+    discard(slim)
+    discard(owners)
     release(spark)
     return DistinctTexts(rows, spark.table(name))
 

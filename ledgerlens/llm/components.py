@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = larger.groupBy("a").agg(F.min("b").alias("m"))
         star = larger.join(smallest, "a")
         smaller = star.select(F.col("b").alias("a"), F.col("m").alias("b")).union(star.select("a", F.col("m").alias("b")))
-        pairs = common.write_and_read(smaller.filter("a > b").distinct(), "edges")
+        before, pairs = pairs, common.write_and_read(smaller.filter("a > b").distinct(), "edges")
+        common.discard(before)
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

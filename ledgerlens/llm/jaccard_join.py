@@ -14,6 +14,11 @@ Three things keep groups of copies cheap without losing a link:
 - Lists then only yield sets and labels of components that may link but are not connected
   yet. Each such set is compared with all sets of that component.
 
+Two sets on a common list mostly do not link. Each set has a sketch, the parities of its
+shingles' hashes: every bit in which two sketches differ needs a shingle that one set has and
+the other has not, and linked sets have few of these. Pairs that differ in more bits are left
+out at the list, where they would otherwise be named; no link is among them.
+
 The order "rare first" comes from a bounded table of frequent shingles. Any order that all
 sets share gives the same result.
 """
@@ -21,6 +26,7 @@ sets share gives the same result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,14 @@ GATHERINGS, GATHERED = 4, 500
 SCAN_COST = 4.0
 #: Sizes told apart in the cost table.
 SIZES = 512
+#: Bits of the filter in front of the table of frequent shingles, as a power of two.
+FILTER = 23
+#: Bits of a sketch: the next power of two from the set's size on, between these.
+SKETCH = (64, 4096)
+#: Entries of one list that a task holds; longer lists are worked block against block.
+LIST_BLOCK = 20_000
+#: Entries of short lists that a task looks at together.
+LIST_ROWS = 50_000
 
 
 def needed(size: np.ndarray, percent: int) -> np.ndarray:
@@ -60,20 +74,73 @@ class RareFirst:
     def __init__(self, shingles: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(shingles)
         self.keys, self.counts = shingles[order], counts[order]
+        self.filter = np.zeros(1 << FILTER, dtype=bool)
+        self.filter[self._slot(self.keys)] = True
 
-    def frequency(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(shingles), dtype=np.int64)
-        at = np.searchsorted(self.keys, shingles).clip(max=len(self.keys) - 1)
-        return np.where(self.keys[at] == shingles, self.counts[at], 0)
+    @staticmethod
+    def _slot(shingles: np.ndarray) -> np.ndarray:
+        return (shingles >> np.uint64(64 - FILTER)).astype(np.int64)
 
-    def sort(self, shingles: np.ndarray) -> np.ndarray:
-        return shingles[np.lexsort((shingles, self.frequency(shingles)))]
+    def frequency(self, shingles: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(shingles), dtype=np.int64)
+        maybe = np.flatnonzero(self.filter[self._slot(shingles)])
+        if len(maybe):
+            some = shingles[maybe]
+            at = np.searchsorted(self.keys, some).clip(max=len(self.keys) - 1)
+            found[maybe] = np.where(self.keys[at] == some, self.counts[at], 0)
+        return found
+
+    def first(self, shingles: np.ndarray, k: int) -> np.ndarray:
+        """The first ``k`` of ascending shingles in this order."""
+        frequency = self.frequency(shingles)
+        unknown = shingles[frequency == 0]
+        if len(unknown) >= k:
+            return unknown[:k]
+        return shingles[np.lexsort((shingles, frequency))[:k]]
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles' low bits: half as many parities are the two halves' xor."""
+    bits = SKETCH[0]
+    while bits < min(len(shingles), SKETCH[1]):
+        bits *= 2
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+class Sketches:
+    """Sketches of the entries of a list, compared at the shorter one's length."""
+
+    def __init__(self, bodies: list[bytes]) -> None:
+        self.words = np.array([len(b) // 8 for b in bodies], dtype=np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        for words in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == words)
+            matrix = np.frombuffer(b"".join(bodies[i] for i in own.tolist()), dtype=np.uint64).reshape(len(own), words)
+            while words:
+                at = self.rows.setdefault(words, np.zeros((len(bodies), words), dtype=np.uint64))
+                at[own] = matrix
+                words //= 2
+                matrix = matrix[:, :words] ^ matrix[:, words:] if words else matrix
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits in which the sketches of each pair of entries differ."""
+        found, least = np.zeros(len(a), dtype=np.int64), np.minimum(self.words[a], self.words[b])
+        for words in np.unique(least).tolist():
+            here = least == words
+            rows = self.rows[words]
+            found[here] = np.bitwise_count(rows[a[here]] ^ rows[b[here]]).sum(axis=1, dtype=np.int64)
+        return found
+
+
+def most_different(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles that linked sets of these sizes can have apart from each other at most."""
+    return n + m - 2 * -(-percent * (n + m) // (100 + percent))
 
 
 #: What one look at every set leaves: its size, its least shingles, frequent shingles.
 SIZE, SIGN, FREQUENCY = 0, 1, 2
-LOOK = "kind int, id long, value long"
+LOOK = "kind int, id long, value long, sketch binary"
 
 
 class _Counts:
@@ -105,23 +172,25 @@ class _Counts:
 
 
 def _looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``LOOK``: (SIZE, id, size), (SIGN, id, shingle), (FREQUENCY, sets, shingle)."""
+    """Rows of ``LOOK``: (SIZE, id, size, sketch), (SIGN, id, shingle), (FREQUENCY, sets, shingle)."""
 
-    def rows(kind: int, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    def rows(kind: int, ids: np.ndarray, values: np.ndarray, sketches: list[bytes] | None = None) -> pa.RecordBatch:
+        drawn = pa.nulls(len(ids), pa.binary()) if sketches is None else pa.array(sketches, pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids), pa.array(values)], ["kind", "id", "value"]
+            [pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids), pa.array(values), drawn], ["kind", "id", "value", "sketch"]
         )
 
     seen = _Counts()
     for batch in batches:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
-        least, sizes = [], []
+        least, sizes, sketches = [], [], []
         for text in batch.column("text").to_pylist():
             s = shingle_set(text)
             seen.add(s)
             least.append(s[:GATHERINGS].view(np.int64))
             sizes.append(len(s))
-        yield rows(SIZE, ids, np.array(sizes, dtype=np.int64))
+            sketches.append(sketch(s).tobytes())
+        yield rows(SIZE, ids, np.array(sizes, dtype=np.int64), sketches)
         yield rows(SIGN, np.repeat(ids, [len(x) for x in least]), np.concatenate([np.empty(0, np.int64), *least]))
     seen.settle()
     kept = seen.counts >= FREQUENT_IN_TASK
@@ -247,12 +316,13 @@ def _listed(table, light: int, percent: int):
             signs, lengths, places, sizes = [], [], [], []
             labels = batch.column("label").to_pylist()
             for text in batch.column("text").to_pylist():
-                s = rare.sort(shingle_set(text))
+                s = shingle_set(text)
                 n = len(s)
                 prefix = n - int(needed(np.int64(n), percent)) + 1 if n else 0
+                s = rare.first(s, prefix + 1)
                 made, at = [], []
                 if 2 <= n <= light:
-                    few = mix(s[: prefix + 1])
+                    few = mix(s)
                     i, j = np.triu_indices(len(few), 1)
                     made.append(mix(few[i] * np.uint64(3) + few[j]) | np.uint64(1))
                     at.append(j)
@@ -280,49 +350,70 @@ def _listed(table, light: int, percent: int):
     return run
 
 
-def pairs_of_lists(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of pairs on a common list with different labels that size and place allow to link.
+@dataclass(frozen=True)
+class Entries:
+    """Entries of some lists, as columns. ``part`` tells the two sides of a block of a long
+    list apart; within a list that is held whole all are 0."""
+
+    sign: np.ndarray
+    ids: np.ndarray
+    label: np.ndarray
+    n: np.ndarray
+    place: np.ndarray
+    part: np.ndarray
+    sketches: Sketches
+    two_sided: np.ndarray
+
+    def may_link(self, a: np.ndarray, b: np.ndarray, light: int, percent: int) -> np.ndarray:
+        """Whether the sets of each pair of entries of one list are of different labels, of
+        sizes that link, share enough from their places on and are alike in their sketches.
+
+        Lists of subsets have odd signs. Two light sets on an even one meet on odd ones, too.
+        """
+        n, m, at, to = self.n[a], self.n[b], self.place[a], self.place[b]
+        both = -(-percent * (n + m) // (100 + percent))  # overlap that this pair needs
+        # The common shingle and what comes after its place in either set.
+        reach = np.minimum(n - at, m - to) + np.minimum(at, to)
+        small, large = np.minimum(n, m), np.maximum(n, m)
+        twice = (self.sign[a] & 1 == 0) & (small >= 2) & (large <= light)
+        ok = (self.label[a] != self.label[b]) & (100 * small >= percent * large) & (reach >= both) & ~twice
+        ok &= ~self.two_sided[a] | (self.part[a] != self.part[b])
+        some = np.flatnonzero(ok)
+        ok[some] = self.sketches.differ(a[some], b[some]) <= most_different(n[some], m[some], percent)
+        return ok
 
-    Lists of subsets have odd signs. Two light sets on an even one meet on odd ones, too.
+
+def pairs_of_lists(e: Entries, kept: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs among the ``kept`` entries that are on a common list and may link.
 
     Entries of a list are ordered by size, so partners of an entry end where they get too
     large, and larger steps have fewer entries left to look at.
     """
-    order = np.lexsort((ids, n, sign))
+    order = kept[np.lexsort((e.ids[kept], e.n[kept], e.sign[kept]))]
+    sign, n = e.sign[order], e.n[order]
     at, step = np.arange(len(order)), 1
-    sign, label, n, place = sign[order], label[order], n[order].astype(np.int64), place[order].astype(np.int64)
-    found = [(at[:0], at[:0])]
+    found = [(order[:0], order[:0])]
     while len(at):
         at = at[at + step < len(order)]
         to = at + step
         near = (sign[at] == sign[to]) & (100 * n[at] >= percent * n[to])
         at, to = at[near], to[near]
-        both = -(-percent * (n[at] + n[to]) // (100 + percent))  # overlap that this pair needs
-        # The common shingle and what comes after its place in either set.
-        reach = np.minimum(n[at] - place[at], n[to] - place[to]) + np.minimum(place[at], place[to])
-        twice = (sign[at] & 1 == 0) & (n[at] >= 2) & (n[to] <= light)
-        ok = (label[at] != label[to]) & (reach >= both) & ~twice
+        ok = e.may_link(order[at], order[to], light, percent)
         if ok.any():
             found.append((order[at[ok]], order[to[ok]]))
         step += 1
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
-def candidates(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.ndarray, place: np.ndarray, light: int, percent: int) -> np.ndarray:
+def candidates(e: Entries, light: int, percent: int) -> np.ndarray:
     """Distinct (id, label): sets that must be compared with all sets of another label.
 
-    A label with many entries on a list is one block there: each other entry of the list
-    is a candidate for it. Entries outside such blocks are looked at in pairs.
+    A label with many entries on a list is one block there: another entry of the list is a
+    candidate for it as soon as it may link with one of them. Entries outside such blocks
+    are looked at in pairs.
     """
-    # Only lists that hold several labels matter.
-    order = np.lexsort((label, sign))
-    sign, ids, label, n, place = (x[order] for x in (sign, ids, label, n, place))
-    if not len(sign):
-        return np.empty((0, 2), np.int64)
-    starts = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
-    length = np.diff(np.r_[starts, len(sign)])
-    mixed = np.repeat(label[starts] != label[starts + length - 1], length)
-    sign, ids, label, n, place = (x[mixed] for x in (sign, ids, label, n, place))
+    order = np.lexsort((e.label, e.sign))
+    sign, label = e.sign[order], e.label[order]
     if not len(sign):
         return np.empty((0, 2), np.int64)
     # Entries of one label on one list, and the largest such group of each list.
@@ -334,27 +425,128 @@ def candidates(sign: np.ndarray, ids: np.ndarray, label: np.ndarray, n: np.ndarr
     block = members[top] >= BLOCK
     main = label[groups[top]][of_list]
     outside = ~block[of_list] | (label != main)
-    against = outside & block[of_list]
-    found = [np.stack([ids[against], main[against]], axis=1)]
-    kept = np.flatnonzero(outside)
-    a, b = pairs_of_lists(sign[kept], ids[kept], label[kept], n[kept], place[kept], light, percent)
-    a, b = kept[a], kept[b]
+    found = []
+    lists = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
+    ends = np.r_[lists[1:], len(sign)]
+    for k in np.flatnonzero(block).tolist():
+        others = lists[k] + np.flatnonzero(outside[lists[k] : ends[k]])
+        core = order[groups[top[k]] : groups[top[k]] + members[top[k]]]
+        for at in range(0, len(others), max(1, PAIRS // len(core))):
+            asking = order[others[at : at + max(1, PAIRS // len(core))]]
+            a, b = np.repeat(asking, len(core)), np.tile(core, len(asking))
+            some = e.may_link(a, b, light, percent).reshape(len(asking), len(core)).any(axis=1)
+            ids = e.ids[asking[some]]
+            found.append(np.stack([ids, np.full(len(ids), e.label[core[0]])], axis=1))
+    a, b = pairs_of_lists(e, order[outside], light, percent)
     # The one with the larger label is compared with the label of the other.
-    x, y = np.where(label[a] > label[b], a, b), np.where(label[a] > label[b], b, a)
-    found.append(np.stack([ids[x], label[y]], axis=1))
+    x, y = np.where(e.label[a] > e.label[b], a, b), np.where(e.label[a] > e.label[b], b, a)
+    found.append(np.stack([e.ids[x], e.label[y]], axis=1))
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _candidates(light: int, percent: int):
+#: Pairs that are looked at together.
+PAIRS = 1 << 20
+POSTING = ["sign", "id", "label", "n", "place"]
+SHARED = "sign long, id long, label long, n int, place int, block int"
+
+
+def _shared(size: int):
+    """Entries of lists that hold several labels; the input has the entries of a list
+    together. Of a list, ``size`` entries are held at most: a longer one is passed on in
+    numbered blocks, whatever its labels."""
+
+    def rows(columns: list[np.ndarray], blocks: np.ndarray) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(blocks.astype(np.int32))], [*POSTING, "block"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64) for _ in POSTING]
+        long, block = None, 0  # the list that is being passed on in blocks, and its next one
+
+        def whole(columns: list[np.ndarray]) -> pa.RecordBatch:
+            """Of complete lists; one may be the last block of a long one."""
+            sign, label = columns[0], columns[2]
+            starts = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
+            mixed = np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)
+            blocks = np.zeros(len(sign), dtype=np.int64) if long is None else np.where(sign == long, block, 0)
+            kept = np.repeat(mixed, np.diff(np.r_[starts, len(sign)])) | (blocks > 0)
+            return rows([c[kept] for c in columns], blocks[kept])
+
+        for batch in batches:
+            held = [np.concatenate([old, batch.column(c).to_numpy().astype(np.int64)]) for old, c in zip(held, POSTING, strict=True)]
+            if not len(held[0]):
+                continue
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            if last:
+                yield whole([c[:last] for c in held])
+                held = [c[last:] for c in held]
+            while len(held[0]) >= size:
+                if held[0][0] != long:
+                    long, block = held[0][0], 0
+                yield rows([c[:size] for c in held], np.full(size, block))
+                held, block = [c[size:] for c in held], block + 1
+        if len(held[0]):
+            yield whole(held)
+
+    return run
+
+
+def _candidates(light: int, percent: int, together: int):
+    """Candidates of lists, or pairs of blocks of a list, which the input has together."""
+
+    def look(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        sign, ids, label, n, place, low, high, block = (
+            table.column(c).to_numpy().astype(np.int64) for c in (*POSTING, "low", "high", "block")
+        )
+        # Blocks of one list are lists of their own here; the lowest bit of a sign stays.
+        own = np.unique(np.stack([sign, low, high], axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+        entries = Entries(own * 2 + (sign & 1), ids, label, n, place, block, Sketches(table.column("sketch").to_pylist()), low != high)
+        pairs = candidates(entries, light, percent)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["id", "other"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)] for batch in batches]
-        if parts:
-            pairs = candidates(*(np.concatenate(column) for column in zip(*parts, strict=True)), light, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["id", "other"])
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("sign", "low", "high")], axis=1)
+            edges = [0, *(1 + np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1))).tolist()]
+            if held and size >= together:
+                before = held[-1].slice(held[-1].num_rows - 1, 1).to_pylist()[0]
+                cut = edges[0] if tuple(keys[0].tolist()) != (before["sign"], before["low"], before["high"]) else next(iter(edges[1:]), None)
+                if cut is not None:
+                    yield look([*held, batch.slice(0, cut)])
+                    held, size, batch = [], 0, batch.slice(cut)
+            held.append(batch)
+            size += batch.num_rows
+        if held:
+            yield look(held)
 
     return run
 
 
+def _named(postings: DataFrame, sketches: DataFrame, light: int, percent: int) -> DataFrame:
+    """(id, other) of all lists of ``postings``, each once."""
+    n = common.shuffle_partitions(postings.sparkSession)
+    shared = postings.repartition(n, "sign").sortWithinPartitions("sign").mapInArrow(_shared(LIST_BLOCK), SHARED)
+    shared = common.write_and_read(shared, "lists")
+    common.release(postings.sparkSession)
+    # Blocks of a long list meet pair by pair; all others are one block.
+    long = shared.filter("block > 0").groupBy("sign").agg(F.max("block").alias("last"))
+    ahead = F.sequence(F.lit(0), F.coalesce("last", F.lit(0)))
+    dealt = shared.join(long, "sign", "left").withColumn("partner", F.explode(ahead))
+    dealt = dealt.withColumn("low", F.least("block", "partner")).withColumn("high", F.greatest("block", "partner"))
+    drawn = dealt.drop("last", "partner").join(sketches, "id")
+    keys = ["sign", "low", "high"]
+    found = drawn.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_candidates(light, percent, LIST_ROWS), "id long, other long")
+    named = common.write_and_read(found.distinct(), "candidates")
+    common.discard(shared)
+    return named
+
+
 def _link_asking(percent: int):
     """Links between sets that ask and sets of the label; one per set that asks is enough."""
 
@@ -434,20 +626,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     labelled = nodes.join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "text")
     listed = labelled.mapInArrow(_listed(table, light, percent), "sign long, id long, label long, n int, place int")
-    wanted = (
-        listed.repartition(common.shuffle_partitions(spark), "sign")
-        .mapInArrow(_candidates(light, percent), "id long, other long")
-        .distinct()
-    )
-    wanted = common.write_and_read(wanted, "candidates")
+    sketches = looks.filter(F.col("kind") == SIZE).select("id", "sketch")
+    wanted = _named(listed, sketches, light, percent)
     common.release(spark)
-    second = _compared(labelled, wanted, percent)
+    second = common.write_and_read(_compared(labelled, wanted, percent), "more-links")
 
     # A document whose text is the node of another key is linked with it, if it has words.
     size = sizes.select(F.col("id").alias("key"), F.col("value").alias("n_shingles"))
     rows = texts.rows.join(size, "key")
     copies = rows.filter("id <> key and n_shingles > 0").select(F.col("id").alias("a"), F.col("key").alias("b"))
     found = components(first.union(second).union(copies))
+    for done in (first, second, wanted):
+        common.discard(done)
 
     of_row = rows.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     one = of_row.filter("id = component").groupBy("component").agg(F.min("tag").alias("kept_tag"))

@@ -40,6 +40,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _settled(spark: SparkSession, operator) -> DataFrame:
+    """The operator's result as a table of its own, without what it wrote on its way."""
+    with common.scope() as own:
+        found = operator()
+    written = common.write_and_read(found, "result")
+    common.clear(spark, own)
+    return written
+
+
 def _labelled(labels: DataFrame, column: str, parts: int, held_out: int) -> DataFrame:
     return labels.filter(common.fold("doc_id", parts) != held_out).select("doc_id", F.col(column).alias("label"))
 
@@ -87,8 +96,9 @@ FROM h LEFT JOIN y USING (doc_id) LEFT JOIN m USING (doc_id)
 
 @query("op3_suffix_dedup", SUFFIX_SQL)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_earlier_strings(common.read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    docs = common.read(spark, sf_dir, "documents")
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return _settled(spark, lambda: suffix_dedup.remove_earlier_strings(docs).select(*columns))
 
 
 SUBSTRING_SQL = r"""
@@ -108,8 +118,9 @@ FROM d LEFT JOIN j USING (r)
 
 @query("op4_substring_dedup", SUBSTRING_SQL)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.remove_repeated_windows(common.read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    docs = common.read(spark, sf_dir, "documents")
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    return _settled(spark, lambda: substring_dedup.remove_repeated_windows(docs).select(*columns))
 
 
 DECONTAMINATE_SQL = r"""
@@ -184,8 +195,8 @@ FROM d LEFT JOIN n USING (r)
 
 @query("op7_ngram_jaccard_join", JACCARD_SQL)
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jaccard_join.near_duplicates(common.read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    docs = common.read(spark, sf_dir, "documents")
+    return _settled(spark, lambda: jaccard_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id"))
 
 
 @query("op8_quality")
@@ -256,7 +267,8 @@ WITH {CRC_TABLE},
     s AS (SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.p <= c.h
         UNION ALL SELECT c.conv_id, 1, o.p, o.role, o.text FROM c JOIN o USING (conv_id) WHERE o.p > c.h),
     r AS (SELECT conv_id, text, row_number() OVER w AS d, sha256(string_agg(sha256(role || chr(1) || text), ',') OVER w) AS id,
-            len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)),
+            len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)),
     m AS (SELECT conv_id, d, id, words FROM r UNION ALL SELECT conv_id, 0, '', 0 FROM c),
     e AS (SELECT conv_id, max(d) AS last FROM m GROUP BY conv_id),
     n AS (SELECT id, any_value(d) AS depth, min(conv_id) AS conv, count(*) AS n_convs, any_value(words) AS words,

@@ -92,13 +92,30 @@ def test_stages(spark, folder, tmp_path):
 
 
 def test_run_and_empty_documents(spark, folder, tmp_path):
+    import os
+
+    from ledgerlens.llm import common
+
+    known = len(common._scopes[0].folders)
     whole = corpus_pipeline.run(spark, folder)
     assert whole.count() > 0 and "sequence_id" in whole.columns
+    # Of all that the stages wrote, their outputs are left.
+    left = [f for f in common._scopes[0].folders[known:] if os.path.exists(f)]
+    assert [sorted(os.listdir(f)) for f in left] == [[f"{i}-{name}" for i, (name, _) in enumerate(corpus_pipeline.STAGES, 1)]]
+    assert not corpus_pipeline._left
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
 
 
+def test_stages_that_are_not_written_in_between(spark, folder):
+    """A stage does not clear what its input still has to be computed from."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, folder)
+    assert docs.count() > 0
+
+
 def test_operators_are_the_ones_of_the_library():
     assert corpus_pipeline.jaccard_join is jaccard_join and corpus_pipeline.toxicity is toxicity
     assert corpus_pipeline.ORACLE_SQL is None

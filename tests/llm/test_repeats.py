@@ -206,15 +206,82 @@ def test_lists_yield_exactly_the_pairs_that_can_link():
             (out,) = listed(iter([batch]))
         finally:
             jaccard_join.shingle_set = kept
-        columns = [out.column(k).to_numpy() for k in range(5)]
-        found = {frozenset(map(int, p)) for p in jaccard_join.candidates(*columns, light, 75)}
+        columns = [out.column(k).to_numpy().astype(np.int64) for k in range(5)]
+        sketches = jaccard_join.Sketches([jaccard_join.sketch(sets[i]).tobytes() for i in columns[1].tolist()])
+
+        def named_by(label, columns=columns, sketches=sketches, light=light):
+            whole = np.zeros(len(label), dtype=np.int64)
+            entries = jaccard_join.Entries(columns[0], columns[1], label, columns[3], columns[4], whole, sketches, whole > 0)
+            return {tuple(map(int, p)) for p in jaccard_join.candidates(entries, light, 75)}
+
+        found = {frozenset(p) for p in named_by(columns[2])}
         assert {frozenset(p) for p in wanted} <= found, light
+        # Most pairs that do not link are not named.
+        assert len(found) < len(sets) ** 2 / 6
         # Labels of several sets are named as a whole.
-        columns[2] = columns[1] % 3
-        named = {tuple(map(int, p)) for p in jaccard_join.candidates(*columns, light, 75)}
+        named = named_by(columns[1] % 3)
         assert all(a % 3 == b % 3 or (a, b % 3) in named or (b, a % 3) in named for a, b in wanted)
 
 
+def test_sketches_bound_the_difference():
+    draw = np.random.default_rng(8)
+    sets = [np.unique(draw.integers(0, 1 << 62, n).astype(np.uint64)) for n in (1, 3, 60, 64, 65, 130, 700, 5000)]
+    sets += [np.unique(np.r_[s[: len(s) * 9 // 10], draw.integers(0, 1 << 62, 9).astype(np.uint64)]) for s in sets]
+    made = jaccard_join.Sketches([jaccard_join.sketch(s).tobytes() for s in sets])
+    a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    differ = made.differ(a, b)
+    for i, j, d in zip(a.tolist(), b.tolist(), differ.tolist(), strict=True):
+        assert d <= len(np.setxor1d(sets[i], sets[j])) and (i != j or d == 0)
+        if jaccard_join.linked(sets[i], sets[j], 75):
+            assert d <= jaccard_join.most_different(np.int64(len(sets[i])), np.int64(len(sets[j])), 75)
+
+
+def test_rare_shingles_come_first():
+    draw = np.random.default_rng(4)
+    known = np.unique(draw.integers(0, 1 << 63, 300).astype(np.uint64))
+    rare = jaccard_join.RareFirst(known, draw.integers(1, 9, len(known)))
+    for n in (0, 1, 40, 300):
+        shingles = np.unique(np.r_[known[:n], draw.integers(0, 1 << 63, 60).astype(np.uint64)])
+        frequency = rare.frequency(shingles)
+        order = shingles[np.lexsort((shingles, frequency))]
+        for k in (0, 1, 30, 400):
+            assert (rare.first(shingles, k) == order[:k]).all()
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_lists_longer_than_a_block(spark, monkeypatch, size):
+    """Many sets that share rare shingles but do not all link; lists are worked in blocks."""
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", size)
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "GATHERINGS", 1)
+    draw = random.Random(13)
+    base = sentence(draw, 40).split()
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for _ in range(draw.randint(0, 3)):
+            words[draw.randrange(40)] = f"n{draw.randrange(500)}"
+        rows.append((k, " ".join(words)))
+    got = jaccard_join.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_links(rows)
+
+
+def test_nothing_is_left_but_the_result(spark):
+    import os
+
+    from ledgerlens.llm import queries
+
+    def tables():
+        return {t.name for t in spark.catalog.listTables() if t.name.startswith("ledgerlens")}
+
+    before, known = tables(), len(common._scopes[0].folders)
+    for name in ("op3_suffix_dedup", "op4_substring_dedup", "op7_ngram_jaccard_join"):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert tables() == before
+    left = [f for f in common._scopes[0].folders[known:] if os.path.exists(f)]
+    assert [os.listdir(f) for f in left] == [["result"]] * 3
+
+
 def test_overlaps_and_components_of_a_block(monkeypatch):
     draw = np.random.default_rng(2)
     sets = [np.unique(draw.integers(0, 60, draw.integers(0, 40)).astype(np.uint64)) for _ in range(50)]
