@@ -71,10 +71,26 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: What earlier stages wrote on their way, until a stage starts from their written output.
+_left: list[common.Scratch] = []
+
+
 def _shipped(stage: Stage) -> Stage:
+    """The stage with its code on the executors, in a scope of its own.
+
+    A stage's scratch tables are needed until its output is written. The next stage reads
+    that output, so it clears them, unless its input still comes from them.
+    """
+
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         common.ship(spark)
-        return stage(spark, docs, sf_dir)
+        read = "\n".join(docs.inputFiles())
+        for own in [s for s in _left if not any(folder.rsplit("/", 1)[-1] in read for folder in s.folders)]:
+            common.clear(spark, own)
+            _left.remove(own)
+        with common.scope() as own:
+            _left.append(own)
+            return stage(spark, docs, sf_dir)
 
     return run_stage
 
@@ -96,4 +112,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    for own in _left:
+        common.clear(spark, own)
+    _left.clear()
     return docs
