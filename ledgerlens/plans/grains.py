@@ -211,62 +211,59 @@ def with_monthly_change(months: DataFrame, keys: Sequence[str] = ("mst_seller",)
     )
 
 
+# Kinds of ranks that a partner row takes part in.
+MOST, LEAST, SALES = 0, 1, 2
+TOP_BUYERS = 3
+
+
 def partner_extremes(partners: DataFrame) -> DataFrame:
     """Per seller-month: buyer totals, most and least frequent buyer, top buyers.
 
-    All rankings are filters on a row number, which Spark applies before the shuffle as
-    well; ties go to the smaller buyer id.
+    A trading buyer takes part in three rankings. They are one window over rows that say
+    which ranking they are about; its filter on a row number is one that Spark applies before
+    the shuffle as well, so at most three rows of a seller-month and ranking leave a task.
+    Ties go to the smaller buyer id.
     """
     months = partners.withColumn("report_date", F.last_day("month_start"))
-    sold = F.col("inv_cnt") > 0
     totals = months.groupBy(*SELLER_MONTH).agg(
         F.sum("buyer_monthly_discount").alias("monthly_total_discount_buyer_taxcode"),
         F.count(F.lit(1)).alias("monthly_distinct_buyer_count"),
         F.sum("buyer_monthly_sales").alias("monthly_total_sales_buyer_taxcode"),
         F.sum("sales_amt").alias("monthly_sales_amt"),
     )
-    traded = months.filter(sold).select(*SELLER_MONTH, "mst_buyer", "inv_cnt", "sales_amt", "disc_amt")
-
-    def frequent(name: str, largest: bool) -> DataFrame:
-        one = windows.top_rows(traded, SELLER_MONTH, "inv_cnt", "mst_buyer", 1, largest=largest)
-        return one.select(*SELLER_MONTH, F.struct("inv_cnt", "sales_amt", "disc_amt").alias(name))
-
-    most, least = frequent("most", True), frequent("least", False)
-    best = (
-        windows.top_rows(
-            traded.select(*SELLER_MONTH, "mst_buyer", "sales_amt"),
-            SELLER_MONTH,
-            "sales_amt",
-            "mst_buyer",
-            3,
-        )
-        .groupBy(*SELLER_MONTH)
-        .agg(
-            *[
-                windows.sum_of_top("rank", k, "sales_amt").alias(f"sales_amt_top{k}_big_buyer_taxcode")
-                for k in (1, 2, 3)
-            ]
-        )
+    count, sales = F.col("inv_cnt").cast("double"), F.col("sales_amt").cast("double")
+    entries = [F.struct(F.lit(kind).alias("kind"), by.alias("by")) for kind, by in ((MOST, -count), (LEAST, count), (SALES, -sales))]
+    entered = (
+        months.filter(F.col("inv_cnt") > 0)
+        .select(*SELLER_MONTH, "mst_buyer", "inv_cnt", "sales_amt", "disc_amt", F.explode(F.array(*entries)).alias("e"))
+        .select(*SELLER_MONTH, "mst_buyer", "inv_cnt", "sales_amt", "disc_amt", "e.kind", "e.by")
     )
+    first = windows.top_rows(entered, [*SELLER_MONTH, "kind"], "by", "mst_buyer", TOP_BUYERS, largest=False)
+
+    def of(kind: int, column: str, k: int = 1) -> Column:
+        return F.sum(F.when((F.col("kind") == kind) & (F.col("rank") <= k), F.col(column)))
+
+    frequent = {f"{kind}_{c}": of(which, c) for kind, which in (("most", MOST), ("least", LEAST)) for c in ("inv_cnt", "sales_amt", "disc_amt")}
+    tops = {f"sales_amt_top{k}_big_buyer_taxcode": of(SALES, "sales_amt", k) for k in range(1, TOP_BUYERS + 1)}
+    best = first.groupBy(*SELLER_MONTH).agg(*[e.alias(name) for name, e in (frequent | tops).items()])
 
     def per_trade(who: str) -> Column:
-        return F.col(f"{who}.sales_amt").cast("double") / F.col(f"{who}.inv_cnt")
+        return F.col(f"{who}_sales_amt").cast("double") / F.col(f"{who}_inv_cnt")
 
-    keys = list(SELLER_MONTH)
-    return totals.join(best, keys, "left").join(most, keys, "left").join(least, keys, "left").select(
+    return totals.join(best, list(SELLER_MONTH), "left").select(
         *SELLER_MONTH,
         "monthly_total_discount_buyer_taxcode",
         "monthly_distinct_buyer_count",
         "monthly_total_sales_buyer_taxcode",
-        F.col("most.inv_cnt").alias("inv_cnt_freq_buyer_taxcode"),
-        F.col("most.sales_amt").alias("sales_amt_most_freq_buyer_taxcode"),
+        F.col("most_inv_cnt").alias("inv_cnt_freq_buyer_taxcode"),
+        F.col("most_sales_amt").alias("sales_amt_most_freq_buyer_taxcode"),
         per_trade("most").alias("sales_amt_most_freq_buyer_taxcode_per_trans"),
-        F.col("most.disc_amt").alias("disc_amt_most_freq_buyer_taxcode"),
-        F.col("least.inv_cnt").alias("inv_cnt_least_freq_buyer_taxcode"),
-        F.col("least.sales_amt").alias("sales_amt_least_freq_buyer_taxcode"),
+        F.col("most_disc_amt").alias("disc_amt_most_freq_buyer_taxcode"),
+        F.col("least_inv_cnt").alias("inv_cnt_least_freq_buyer_taxcode"),
+        F.col("least_sales_amt").alias("sales_amt_least_freq_buyer_taxcode"),
         per_trade("least").alias("sales_amt_least_freq_buyer_taxcode_per_trans"),
         "monthly_sales_amt",
-        *[f"sales_amt_top{k}_big_buyer_taxcode" for k in (1, 2, 3)],
+        *[f"sales_amt_top{k}_big_buyer_taxcode" for k in range(1, TOP_BUYERS + 1)],
         ratio(F.col("sales_amt_top3_big_buyer_taxcode"), F.col("monthly_sales_amt"), None).alias(
             "sales_amt_top3_big_buyer_taxcode_vs_sales_amt"
         ),

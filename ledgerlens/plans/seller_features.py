@@ -14,7 +14,7 @@ from ledgerlens.functions.scalars import at_least, ratio
 from ledgerlens.operators import month_states, trailing, windows
 from ledgerlens.plans import grains
 from ledgerlens.sources.invoices import CURRENT, InvoicePolicy, analysis_rows
-from ledgerlens.sources.store import materialize
+from ledgerlens.sources.store import bucketed, materialize
 
 KEYS = ("as_of", "mst_seller")
 
@@ -243,18 +243,19 @@ def seller_features(
     partners: DataFrame,
     run_dates: Sequence[dt.date],
     night: bool = False,
+    by_seller: bool = False,
 ) -> DataFrame:
     """One row per (report date, seller) for every run date, in one pass.
 
     ``grain`` and ``partners`` are the full-history day and partner grains. The daily
-    table is hashed on the seller once; windows, monthly roll-up and both wide
-    aggregates all work within that layout.
+    table is hashed on the seller once, unless it lies ``by_seller`` already
+    (:func:`store.bucketed`); windows, monthly roll-up and both wide aggregates all work
+    within that layout. Partners are never laid out by seller: their number has no bound.
     """
     last_days = [dates.last_closed_day(d) for d in run_dates]
     first, last = dates.month_start(min(last_days), 11), max(last_days)
-    daily = (
-        grains.daily_sellers(grain).filter(dates.within("report_date", first, last)).repartition("mst_seller")
-    )
+    daily = grains.daily_sellers(grain).filter(dates.within("report_date", first, last))
+    daily = daily if by_seller else daily.repartition("mst_seller")
     days = dates.trailing_frame(daily, "report_date", last_days)
     months = dates.trailing_frame(grains.month_grain(daily), "report_date", last_days)
     pairs = dates.trailing_frame(grains.buyer_months(partners), "month_start", last_days)
@@ -294,10 +295,10 @@ def from_invoices(
     """The feature table straight from logical invoices.
 
     The slim typed rows are written first and the grains from them, so that the invoices
-    are read once (under adjusted sales: by the one lookup of originals). Runs these three
-    writes to the shared folder when called; the files go when the process ends.
+    are read once (under adjusted sales: once more by the lookup of originals). Runs these
+    three writes to the shared folder when called; the files go when the process ends.
     """
     rows = materialize(analysis_rows(invoices, policy), "rows")
-    grain = materialize(grains.day_grain(rows), "days")
+    grain = bucketed(grains.day_grain(rows), "days", "mst_seller", ["mst_seller", "report_date"])
     partners = materialize(grains.partner_month(rows, policy.filter_pairs), "partners")
-    return seller_features(grain, partners, run_dates, night=policy.night_flag)
+    return seller_features(grain, partners, run_dates, night=policy.night_flag, by_seller=True)

@@ -55,14 +55,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Delete a folder when the process ends."""
-    atexit.register(_remove, weakref.ref(spark), path)
+def bucketed(df: DataFrame, name: str, key: str, order: Sequence[str]) -> DataFrame:
+    """:func:`materialize` as a table that is hashed on ``key`` into files and sorted by
+    ``order`` in each, for what is read by key again and again: windows and aggregates by the
+    key need no exchange over it. Only for rows whose number per key is bounded, as a file is
+    one task. The table leaves the catalog, and its files go, when the process ends.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, path = f"ledgerlens_{name}_{uuid.uuid4().hex}", f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path, table)
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(*order).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def remove_at_exit(spark: SparkSession, path: str, table: str | None = None) -> None:
+    """Delete a folder, and drop the table over it, when the process ends."""
+    atexit.register(_remove, weakref.ref(spark), path, table)
 
 
-def _remove(session: weakref.ref, path: str) -> None:
+def _remove(session: weakref.ref, path: str, table: str | None = None) -> None:
     spark = session()
     if spark is not None and spark.sparkContext._jsc is not None:
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

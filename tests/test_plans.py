@@ -9,6 +9,7 @@ from ledgerlens.operators import joins
 from ledgerlens.operators.skew import heavy_keys, spread_join
 from ledgerlens.plans import grains, seller_features
 from ledgerlens.sources import star_tables
+from ledgerlens.sources.store import bucketed, materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,6 +58,22 @@ def test_feature_groups_share_one_layout(spark, tmp_path):
     assert plan(table).count("Exchange hashpartitioning") == 1
 
 
+def test_a_bucketed_grain_needs_no_exchange(spark):
+    """Windows, ranks, monthly roll-up and both wide aggregates work in the files' layout."""
+    days = bucketed(inputs.day_grain(spark, SF_DIR), "plan_days", "mst_seller", ["mst_seller", "report_date"])
+    daily = grains.daily_sellers(days)
+    direct = seller_features.pack_direct(inputs.dates.trailing_frame(daily, "report_date", [inputs.LAST_DAY]))
+    monthly = seller_features.pack_monthly(inputs.dates.trailing_frame(grains.month_grain(daily), "report_date", [inputs.LAST_DAY]))
+    for made in (direct, monthly, grains.silent_days(days)):
+        assert "Exchange" not in plan(made) and made.count() > 0
+
+
+def test_one_ranking_of_partners(spark):
+    partners = materialize(inputs.partners(spark, SF_DIR), "plan-partners")
+    text = plan(grains.partner_extremes(partners))
+    assert text.count("FileScan") == 2 and text.count("Window [") == 1 and "WindowGroupLimit" in text
+
+
 def test_spread_join_is_the_plain_join(spark):
     big = spark.range(2000).select((F.col("id") % 7).alias("k"), "id").withColumn("k", F.when(F.col("id") % 3 != 0, F.col("k")).otherwise(0))
     small = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
