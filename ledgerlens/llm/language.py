@@ -9,13 +9,13 @@ over the runner-up marks the text as ambiguous.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,7 @@ from ledgerlens.llm import common
 SAMPLE_OF_LANGUAGE, SAMPLE_ROWS = 400, 20_000
 GRAMS = 1 << 12
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"[A-Za-z]|\p{L}")
 # ASCII letters in lower case, other bytes as they are, all else a blank.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -111,6 +111,7 @@ def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, per_language: int = SAMPLE_OF_LANGUAGE, rows: int = SAMPLE_ROWS) -> Coder:
     """Classifiers fitted on about ``per_language`` documents of each language and ``rows``
     in all, chosen by a hash. Null languages and texts without a letter are left out."""
+    common.ship(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rows).collect()}
     each = min(per_language, max(1, rows // max(len(counts), 1)))
@@ -140,6 +141,7 @@ def identify(docs: DataFrame, coder: Coder, lead: float = 0.2) -> DataFrame:
     nothing could be learned. With one learned language every other text gets it. Columns
     of the three names are replaced; others, repeated rows and empty tables pass through.
     """
+    common.ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(coder)  # of a fixed size
 
     def run(text: pd.Series) -> pd.DataFrame:
