@@ -109,11 +109,12 @@ def _search(queries_of, k: int):
         sizes = [len(b.score) for b in best.values()]
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array(np.repeat(np.arange(len(queries)), sizes), pa.int32()),
                 pa.array(np.repeat(np.array([q[0] for q in queries], np.int64), sizes), pa.int64()),
                 pa.array(np.concatenate([np.empty(0, np.int64), *(b.id for b in best.values())]), pa.int64()),
                 pa.array(np.concatenate([np.empty(0, np.int64), *(b.score for b in best.values())]), pa.int64()),
             ],
-            ["query_id", "vec_id", "score"],
+            ["number", "query_id", "vec_id", "score"],
         )
 
     return run
@@ -132,6 +133,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     Queries are broadcast in blocks of a bounded size, and each block scans the vectors.
     """
     spark = vectors.sparkSession
+    common.ship(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding")).alias("vector"), is_query.alias("asks")).filter(
         "vec_id is not null and vector is not null"
     )
@@ -142,16 +144,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     by_length = rows.select("vec_id", "vector", square.alias("square")).sortWithinPartitions(F.desc("square")).select("vec_id", "vector")
     parts = []
     for b in range(blocks):
-        taken = asked.filter(block == b).orderBy("vec_id").collect()  # about QUERY_BLOCK rows
+        taken = asked.filter(block == b).orderBy("vec_id", "vector").collect()  # about QUERY_BLOCK rows
         shared = spark.sparkContext.broadcast([(r["vec_id"], r["vector"]) for r in taken])
-        found = by_length.mapInArrow(_search(shared, k), "query_id long, vec_id long, score long")
+        found = by_length.mapInArrow(_search(shared, k), "number int, query_id long, vec_id long, score long")
         parts.append(found.withColumn("block", F.lit(b)))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # A query is one vector of an id, so two vectors of one id have a list each.
+    order = Window.partitionBy("block", "number").orderBy(F.desc("score"), "vec_id")
     return (
         everything.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
