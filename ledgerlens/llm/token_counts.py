@@ -103,6 +103,7 @@ def token_counts(
     result is empty. Other columns are ignored.
     """
     spark = docs.sparkSession
+    common.ship(spark)
     path = tokenizer or public_tokenizers.path("piece_bpe_32k.model")
     version = tokenizer_digest(path)
     store = store or f"{common.scratch_folder(spark)}/token_counts"
@@ -110,10 +111,17 @@ def token_counts(
 
     rows = common.texts(docs).withColumn("digest", F.unhex(F.sha2("text", 256)))
     known = spark.read.schema(STORE_SCHEMA).parquet(store).filter(F.col("tokenizer") == version)
+    # Digests alone decide what is missing; then only texts that are travel.
+    digests = common.write_and_read(rows.select("digest").distinct(), "digests")
+    misses = common.write_and_read(digests.join(known.select("digest"), "digest", "left_anti"), "misses")
+    missing = misses.count()
+    if missing < digests.count():
+        wanted = rows.join(misses, "digest", "left_semi")
+    else:
+        wanted = rows
     # One text stands for all of its copies; copies within a task meet before the shuffle.
-    distinct = rows.groupBy("digest").agg(F.first("text").alias("text"))
-    misses = distinct.join(known, "digest", "left_anti")
-    counted = misses.mapInArrow(_encode(path), "digest binary, n_tokens long")
+    distinct = wanted.select("digest", "text").groupBy("digest").agg(F.first("text").alias("text"))
+    counted = distinct.mapInArrow(_encode(path), "digest binary, n_tokens long") if missing else spark.createDataFrame([], "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(store)
 
     # Runs that overlapped may have appended a content twice, with equal counts.
