@@ -7,8 +7,11 @@ product of demand and room; without such a sequence it opens one. Pieces are pla
 falling length, which best-fit needs to come near the smallest number of sequences.
 
 Spark deals the pieces at random to groups of ``group_pieces`` pieces, which are packed
-independently: a group ends with at most a few sequences that are not full, out of
-thousands. Full-length pieces are sequences already and are not dealt.
+independently. What a group leaves in sequences that are not nearly full is dealt and packed
+again, with that of other groups, until one group is left or nothing more is gained, so that
+the number of groups does not show in the number of sequences; a group should hold many
+sequences' worth of pieces. Full-length pieces are
+sequences already and are not dealt.
 """
 
 from __future__ import annotations
@@ -35,6 +38,9 @@ from ledgerlens.llm import common
 #: Cached words of one Python worker; the cache starts anew beyond it.
 WORD_CACHE = 500_000
 
+#: Share of a capacity from which on a sequence is not opened again.
+NEARLY_FULL = 0.98
+
 PIECES = "doc_id bigint, row_no int, piece int, start long, length long, ids_crc32 long"
 
 
@@ -191,23 +197,12 @@ def pack(docs: DataFrame, capacity: Capacity = Capacity(), tokenizer: str | None
     document or attention limit too tight for a full piece, pieces are still cut by tokens
     and an impossible piece is an error.
     """
+    common.ship(docs.sparkSession)
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     pieces = common.write_and_read(rows.mapInArrow(_cut(path, capacity.tokens), PIECES), "pieces")
     whole = (F.col("length") == capacity.tokens) & F.lit(capacity.documents is None and capacity.attention is None)
-    stats = pieces.agg(F.count("*").alias("n"), F.count(F.when(~whole, 1)).alias("loose")).first()
-    groups = max(1, -(-stats["loose"] // group_pieces))
-
-    def place(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "row_no", "piece"], ascending=[False, True, True, True], kind="stable")
-        sequence, offset = best_fit(frame["length"].to_numpy(), capacity)
-        # Numbers of a group follow each other at a distance of the number of groups.
-        frame["sequence_id"] = sequence * groups + frame["deal"]
-        frame["offset"] = offset
-        return frame.drop(columns="deal")
-
-    deal = F.pmod(F.xxhash64("row_no", "doc_id", "piece"), F.lit(groups)).alias("deal")
-    packed = pieces.filter(~whole).select("*", deal).groupBy("deal").applyInPandas(place, f"{PIECES}, sequence_id long, offset long")
+    packed = pack_pieces(pieces.filter(~whole), capacity, group_pieces)
     # Full pieces need no place to be found; their numbers, all negative, count the scan.
     alone = pieces.filter(whole).select(
         "*",
@@ -215,3 +210,47 @@ def pack(docs: DataFrame, capacity: Capacity = Capacity(), tokenizer: str | None
         F.lit(0).cast("long").alias("offset"),
     )
     return packed.unionByName(alone).drop("row_no")
+
+
+#: Rounds whose sequence numbers are told apart.
+ROUNDS = 32
+
+
+def pack_pieces(pieces: DataFrame, capacity: Capacity, group_pieces: int) -> DataFrame:
+    """``pieces`` with sequence_id and offset, in rounds: see the module."""
+    done: DataFrame | None = None
+    loose, number = pieces, 0
+    while True:
+        n = loose.count()
+        groups = max(1, -(-n // group_pieces))
+        # Each round deals anew, so that leftovers meet others.
+        deal = F.pmod(F.xxhash64("row_no", "doc_id", "piece", F.lit(number)), F.lit(groups)).alias("deal")
+        kinds = f"{PIECES}, sequence_id long, offset long, full boolean"
+        packed = loose.select("*", deal).groupBy("deal").applyInPandas(_place(capacity, groups, number), kinds)
+        if groups > 1:
+            packed = common.write_and_read(packed, "packed")
+            again = packed.filter("not full").count()
+            # Little is gained where most pieces are in sequences that no other piece fits in.
+            if 2 * again > n or number + 1 == ROUNDS:
+                groups = 1
+        ended = packed if groups == 1 else packed.filter("full")
+        done = ended.drop("full") if done is None else done.unionByName(ended.drop("full"))
+        if groups == 1:
+            return done
+        loose, number = packed.filter("not full").drop("full", "sequence_id", "offset"), number + 1
+
+
+def _place(capacity: Capacity, groups: int, number: int):
+    def place(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["length", "doc_id", "row_no", "piece"], ascending=[False, True, True, True], kind="stable")
+        length = frame["length"].to_numpy()
+        sequence, offset = best_fit(length, capacity)
+        used = np.stack([np.bincount(sequence, weights=w) for w in (length, np.ones(len(length)), length.astype(float) ** 2)], axis=1)
+        full = (used / np.maximum(capacity.vector(), 1)).max(axis=1) >= NEARLY_FULL
+        # Numbers of a group follow each other at a distance of the number of groups.
+        frame["sequence_id"] = (sequence * groups + frame["deal"]) * ROUNDS + number
+        frame["offset"] = offset
+        frame["full"] = full[sequence]
+        return frame.drop(columns="deal")
+
+    return place
