@@ -156,6 +156,7 @@ class DistinctTexts:
 def distinct_texts(docs: DataFrame) -> DistinctTexts:
     """Writes both tables to the shared folder. Null texts are empty."""
     spark, n = docs.sparkSession, shuffle_partitions(docs.sparkSession)
+    ship(spark)
     tag, given = F.xxhash64("text"), F.col("doc_id").cast("long")
     marked = texts(docs).select(
         given.alias("doc_id"),

@@ -66,6 +66,32 @@ def test_a_word_with_noise_counts_once():
     assert len(toxicity.matches("zorg" + "01" * 50_000, lexicon)[0]) == 1
 
 
+def naive_density(text, lexicon):
+    """Word by word, without an automaton."""
+    words = toxicity.fold_text(text).split()
+    spared = set()
+    for phrase in lexicon.exceptions:
+        p = phrase.split()
+        for k in range(len(words) - len(p) + 1):
+            if words[k : k + len(p)] == p:
+                spared |= set(range(k, k + len(p)))
+    total = 0.0
+    for k, word in enumerate(words):
+        for pattern, weight in lexicon.entries:
+            held = word == pattern.strip() if pattern.endswith(" ") else word.startswith(pattern.strip())
+            total += weight * (held and k not in spared)
+    return total / (1 + np.log2(1 + len(words)))
+
+
+def test_matching_equals_a_plain_loop():
+    lexicon = toxicity.Lexicon(((" zor", 2.0), (" zorg ", 5.0), (" bla", 1.5), (" blarnt ", 4.0), (" été ", 3.0)), ("old zorg", "zorg tree old", "blarnt blarnt", "bla"), 0.5, 4.0)
+    draw = random.Random(12)
+    pieces = ["zorg", "ZORG", "zоrg", "z0rg", "zor", "zorgs", "bla", "blarnt", "8larnt", "b1arnt", "old", "0ld", "tree", "été", "ÉTÉ", "x", "1999", "ｚｏｒｇ"]
+    for _ in range(3000):
+        text = "".join(draw.choice(pieces) + draw.choice([" ", " ", "\n", ", ", " - ", "\u200b "]) for _ in range(draw.randint(0, 12)))
+        assert toxicity.density(text, lexicon) == pytest.approx(naive_density(text, lexicon)), repr(text)
+
+
 def test_exception_phrases():
     lexicon = toxicity.Lexicon(((" zorg", 5.0),), ("old zorg tree",), 0.5, 4.0)
     assert toxicity.matches("the old zorg tree", lexicon)[0] == []
@@ -157,6 +183,39 @@ def test_mixed_text_is_ambiguous(spark):
     assert clear > mixed
 
 
+@pytest.mark.parametrize("languages", [2, 3, 6])
+def test_decoding_equals_a_plain_search_for_the_nearest_word(spark, languages):
+    kept = list(TONGUES)[:languages]
+    frame = spark.createDataFrame([r for r in tongue_rows(200, 1) if r[2] in kept], "doc_id long, text string, lang string")
+    coder = language.learn(frame)
+    draw = random.Random(3)
+    texts = [" ".join(draw.choice(TONGUES[draw.choice(kept)].split()) for _ in range(draw.randint(1, 12))) for _ in range(60)]
+    lead = 0.35
+    got = {r["doc_id"]: r for r in language.identify(documents(spark, list(enumerate(texts))), coder, lead).collect()}
+    for i, text in enumerate(texts):
+        x = language.grams(text).astype(np.float64)
+        losses = []
+        for word in coder.code:
+            loss = 0.0
+            for bit, sign in enumerate(word):
+                margin = float(sum(x[g] * coder.weights[g, bit] for g in np.flatnonzero(x))) + float(coder.bias[bit])
+                loss += coder.trust[bit] * np.log1p(np.exp(-margin * sign))
+            losses.append(loss)
+        shares = sorted((np.exp(min(losses) - v) / sum(np.exp(min(losses) - u) for u in losses) for v in losses), reverse=True)
+        r = got[i]
+        assert r["lang_pred"] == coder.languages[int(np.argmin(losses))] and r["score"] == pytest.approx(shares[0], abs=1e-4)
+        if abs(shares[0] - shares[1] - lead) > 1e-3:
+            assert r["ambiguous"] == (shares[0] - shares[1] < lead)
+    assert {r["ambiguous"] for r in got.values()} == {True, False}
+
+
+def test_signs_and_numbers_are_no_letters(spark):
+    coder = language.learn(spark.createDataFrame(tongue_rows(100, 1), "doc_id long, text string, lang string"))
+    texts = ["²", "½", "①②", "_", "12 ?!", "🙂", "٣", "ª", "é", "中", "x", "²é"]
+    got = language.identify(documents(spark, list(enumerate(texts))), coder).orderBy("doc_id").collect()
+    assert [r["lang_pred"] == "und" for r in got] == [True] * 7 + [False] * 5
+
+
 def test_nothing_to_learn(spark):
     frame = documents(spark, [(1, "abc")])
     coder = language.learn(frame.withColumn("lang", frame["lang"].cast("string")).limit(0))

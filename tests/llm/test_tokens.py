@@ -91,6 +91,47 @@ def test_packing_is_whole_and_tight(spark):
     assert len(sequences) <= -(-sum(r["length"] for r in got) // 2048) + 1
 
 
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_texts_do_not_travel(spark, tmp_path, monkeypatch):
+    """Cold, warm and half-warm: only texts that are missing are grouped and encoded."""
+    store = str(tmp_path / "store")
+    rows = [(i, f"text number {i % 50}") for i in range(200)]
+    grouped = []
+    encode = token_counts._encode
+    monkeypatch.setattr(token_counts, "_encode", lambda path: grouped.append(path) or encode(path))
+    token_counts.token_counts(documents(spark, rows), store).collect()
+    assert len(grouped) == 1 and spark.read.parquet(store).count() == 50
+    token_counts.token_counts(documents(spark, rows), store).collect()
+    assert len(grouped) == 1  # nothing is missing: no text is asked for at all
+    more = [*rows, *((1000 + i, f"new {i % 3}") for i in range(30))]
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = token_counts.token_counts(documents(spark, more), store).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == sorted((i, len(model.encode(t))) for i, t in more)
+    assert len(grouped) == 2 and spark.read.parquet(store).count() == 53
+
+
+@pytest.mark.parametrize("group", [60, 400, 10**6])
+def test_groups_do_not_show_in_the_number_of_sequences(spark, group):
+    rows = [(i, "word " * 19) for i in range(3000)]
+    got = packing.pack(documents(spark, rows), packing.Capacity(tokens=500), group_pieces=group).collect()
+    by_sequence = defaultdict(list)
+    for r in got:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        assert [o for o, _ in sorted(places)] == [20 * k for k in range(len(places))] and len(places) <= 25
+    assert len(got) == 3000 and len(by_sequence) <= 3000 // 25 + 2
+
+
+def test_pieces_that_no_other_fits_beside(spark):
+    """Rounds end where nothing is gained: each sequence holds one piece."""
+    rows = [(i, "word " * 299) for i in range(60)]
+    got = packing.pack(documents(spark, rows), packing.Capacity(tokens=500), group_pieces=5).collect()
+    assert len({r["sequence_id"] for r in got}) == 60 and {r["offset"] for r in got} == {0}
+
+
 @pytest.mark.parametrize("rule", ["norm", "product"])
 def test_every_capacity_holds(rule):
     draw = np.random.default_rng(1)
