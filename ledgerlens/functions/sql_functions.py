@@ -81,25 +81,27 @@ def _ratios() -> str:
 
 
 # The pair counts come from rows made distinct first, as in the DataFrame form.
-_DAILY_BODY = f"""
+_DAILY_ROWS = f"""
     SELECT mst_seller, report_date, daily_total_sales, daily_invoice_count, daily_buyer_count, daily_total_tax, daily_total_discount,
            daily_night_invoice_count, daily_core_invoice_count, {_ratios()}
     FROM (SELECT mst_seller, report_date, sum(total_sales) AS daily_total_sales, count(*) AS daily_invoice_count,
                  count(DISTINCT mst_buyer) AS daily_buyer_count, sum(tax_amt) AS daily_total_tax, sum(discount_amt) AS daily_total_discount,
                  count_if({_in_hours(*scalars.NIGHT_HOURS)}) AS daily_night_invoice_count, count_if({_in_hours(*scalars.CORE_HOURS)}) AS daily_core_invoice_count
-          FROM {ROWS_VIEW} WHERE counts AND report_date BETWEEN first_date AND last_date GROUP BY mst_seller, report_date)"""
+          FROM {ROWS_VIEW} WHERE counts AND report_date BETWEEN {{first}} AND {{last}} GROUP BY mst_seller, report_date)"""
+_DAILY_BODY = _DAILY_ROWS.format(first="first_date", last="last_date")
 
 _PERIOD_FUNCTIONS = {"sum": "sum({0})", "avg": "avg({0})", "min": "min({0})", "max": "max({0})", "std": "stddev_samp({0})"} | {
     name: f"percentile({{0}}, {rank}D)" for name, rank in PERCENTILES.items() if name in ("pct25", "med", "pct75")
 }
 _PERIOD = "mst_seller STRING, window_name STRING, days BIGINT, buyer_counts BIGINT, " + ", ".join(f"sales_{f} DOUBLE" for f in _PERIOD_FUNCTIONS)
-# A day is repeated for each window it is in, so no join is needed.
+# A day is repeated for each window it is in, so no join is needed. The daily rows are given
+# in full: a call with arguments that depend on this function's own would become a join.
 _PERIOD_BODY = f"""
     SELECT mst_seller, w.window_name, count(*), count(DISTINCT daily_buyer_count),
            {', '.join(f.format('daily_total_sales') for f in _PERIOD_FUNCTIONS.values())}
     FROM (SELECT mst_seller, daily_buyer_count, daily_total_sales, explode(filter(listed, x -> x.first_day <= report_date)) AS w
           FROM (SELECT *, array({_LIST}) AS listed
-                FROM ledger_daily(add_months(trunc(run_date, 'month'), -12), {_CLOSED_DAY})))
+                FROM ({_DAILY_ROWS.format(first="add_months(trunc(run_date, 'month'), -12)", last=_CLOSED_DAY)})))
     GROUP BY mst_seller, w.window_name"""
 
 
