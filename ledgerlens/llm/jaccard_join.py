@@ -49,6 +49,8 @@ SIZES = 512
 FILTER = 23
 #: Bits of a sketch: the next power of two from the set's size on, between these.
 SKETCH = (64, 4096)
+#: Words of sketches that are compared together.
+WORDS = 1 << 19
 #: Entries of one list that a task holds; longer lists are worked block against block.
 LIST_BLOCK = 20_000
 #: Entries of short lists that a task looks at together.
@@ -127,9 +129,10 @@ class Sketches:
         """Bits in which the sketches of each pair of entries differ."""
         found, least = np.zeros(len(a), dtype=np.int64), np.minimum(self.words[a], self.words[b])
         for words in np.unique(least).tolist():
-            here = least == words
-            rows = self.rows[words]
-            found[here] = np.bitwise_count(rows[a[here]] ^ rows[b[here]]).sum(axis=1, dtype=np.int64)
+            here, rows = np.flatnonzero(least == words), self.rows[words]
+            for at in range(0, len(here), max(1, WORDS // words)):
+                some = here[at : at + max(1, WORDS // words)]
+                found[some] = np.bitwise_count(rows[a[some]] ^ rows[b[some]]).sum(axis=1, dtype=np.int64)
         return found
 
 
@@ -445,7 +448,7 @@ def candidates(e: Entries, light: int, percent: int) -> np.ndarray:
 
 
 #: Pairs that are looked at together.
-PAIRS = 1 << 20
+PAIRS = 1 << 17
 POSTING = ["sign", "id", "label", "n", "place"]
 SHARED = "sign long, id long, label long, n int, place int, block int"
 
