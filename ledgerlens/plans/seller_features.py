@@ -14,7 +14,7 @@ from ledgerlens.functions.scalars import at_least, ratio
 from ledgerlens.operators import month_states, trailing, windows
 from ledgerlens.plans import grains
 from ledgerlens.sources.invoices import CURRENT, InvoicePolicy, analysis_rows
-from ledgerlens.sources.store import bucketed, materialize
+from ledgerlens.sources.store import bucketed, materialize, together
 
 KEYS = ("as_of", "mst_seller")
 
@@ -299,6 +299,8 @@ def from_invoices(
     three writes to the shared folder when called; the files go when the process ends.
     """
     rows = materialize(analysis_rows(invoices, policy), "rows")
-    grain = bucketed(grains.day_grain(rows), "days", "mst_seller", ["mst_seller", "report_date"])
-    partners = materialize(grains.partner_month(rows, policy.filter_pairs), "partners")
+    grain, partners = together(
+        lambda: bucketed(grains.day_grain(rows), "days", "mst_seller", ["mst_seller", "report_date"]),
+        lambda: materialize(grains.partner_month(rows, policy.filter_pairs), "partners"),
+    )
     return seller_features(grain, partners, run_dates, night=policy.night_flag, by_seller=True)

@@ -107,8 +107,13 @@ def stage(
         _put(days, tables.days, month)
         _put(partners, tables.partners, month)
         _stage_states(spark, tables, month)
+    # Months that were staged before there were states get theirs as well.
+    months = sorted(staged | set(again))
+    for month in sorted(set(months) - _staged(spark, tables.states)):
+        _stage_states(spark, tables, month)
     # A changed month changes the carry behind it and behind all later ones.
-    for month in sorted(m for m in staged | set(again) if m >= again[0]):
+    first = min({again[0], *(set(months) - _staged(spark, tables.carry))})
+    for month in (m for m in months if m >= first):
         _stage_carry(spark, tables, month)
 
 

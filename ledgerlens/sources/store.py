@@ -7,11 +7,13 @@ import datetime as dt
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -69,6 +71,14 @@ def bucketed(df: DataFrame, name: str, key: str, order: Sequence[str]) -> DataFr
     return spark.table(table)
 
 
+def together(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of writes that do not need each other, run side by side: what one leaves idle,
+    the other uses."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(write)) for write in writes]
+        return [each.result() for each in started]
+
+
 def remove_at_exit(spark: SparkSession, path: str, table: str | None = None) -> None:
     """Delete a folder, and drop the table over it, when the process ends."""
     atexit.register(_remove, weakref.ref(spark), path, table)
