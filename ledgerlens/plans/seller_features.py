@@ -300,6 +300,7 @@ def from_invoices(
     """
     rows = materialize(analysis_rows(invoices, policy), "rows")
     grain, partners = together(
+        rows.sparkSession,
         lambda: bucketed(grains.day_grain(rows), "days", "mst_seller", ["mst_seller", "report_date"]),
         lambda: materialize(grains.partner_month(rows, policy.filter_pairs), "partners"),
     )

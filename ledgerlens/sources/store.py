@@ -71,11 +71,11 @@ def bucketed(df: DataFrame, name: str, key: str, order: Sequence[str]) -> DataFr
     return spark.table(table)
 
 
-def together(*writes: Callable[[], DataFrame]) -> list[DataFrame]:
+def together(spark: SparkSession, *writes: Callable[[], DataFrame]) -> list[DataFrame]:
     """Results of writes that do not need each other, run side by side: what one leaves idle,
     the other uses."""
     with ThreadPoolExecutor(len(writes)) as pool:
-        started = [pool.submit(inheritable_thread_target(write)) for write in writes]
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
         return [each.result() for each in started]
 
 
