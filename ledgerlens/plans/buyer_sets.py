@@ -3,7 +3,9 @@
 A count of distinct buyers cannot be added up over days. A set can: each owner's members are
 numbered once, in a dictionary that only ever grows, and a day's set is a bitmap over these
 numbers. Days merge to months and months to windows by OR; the counts then fall out of the
-bitmaps without reading a member again. A member's bucket follows from its hash, so that an
+bitmaps without reading a member again. Rows are laid out by owner and bucket before a
+bitmap is made or merged, which is then done in place: while they are aggregated, bitmaps are
+whole pages of 4 KB, which must neither be shuffled nor sorted. A member's bucket follows from its hash, so that an
 owner with very many members is spread, and numbers are dense within a bucket. Trailing zero
 bytes are cut, so a set of one member is a byte or little more.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import dates
 from ledgerlens.functions.dates import TRAILING_MONTHS
 from ledgerlens.operators import trailing
+from ledgerlens.operators.skew import parts
 from ledgerlens.sources.store import materialize
 
 #: Hash buckets of each owner. Stored sets depend on it.
@@ -65,25 +68,34 @@ def day_sets(rows: DataFrame, owner: str, member: str, date_col: str, known: Dat
 
     Rows are reduced to one per owner, member and day before they meet the dictionary, so a
     pair that trades very often is no heavier than its days. Rows without owner, member or
-    date count nowhere. ``known`` is an earlier dictionary; the sets then use its numbers.
+    date count nowhere. ``known`` is an earlier dictionary; the sets then use its numbers. Without
+    one the numbers are those of :func:`numbered`, given in the layout of the sets.
     """
     slim = materialize(
         rows.select(owner, member, date_col).filter(F.col(owner).isNotNull() & F.col(member).isNotNull() & F.col(date_col).isNotNull()).distinct(),
         "members",
     )
-    dictionary = numbered(slim, owner, member, known)
-    return _sets(slim.join(dictionary, [owner, member]).select(owner, date_col, *NUMBERED), [owner, date_col])
+    if known is None:
+        rank = F.dense_rank().over(Window.partitionBy(owner, "bucket").orderBy(member)) - 1
+        laid = slim.withColumn("bucket", _bucket(member)).repartition(parts(slim), owner, "bucket")
+        found = laid.withColumn("number", rank.cast("long"))
+    else:
+        dictionary = numbered(slim, owner, member, known)
+        found = slim.join(dictionary, [owner, member]).repartition(parts(slim), owner, "bucket")
+    return _sets(found.select(owner, date_col, *NUMBERED), [owner, date_col])
 
 
 def merged(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sets of the same key, bucket and page as one."""
+    """Sets of the same key, bucket and page as one. ``sets`` should lie by their owner and bucket."""
     size = F.max(F.octet_length("bits"))
     found = sets.groupBy(*keys, "bucket", "page").agg(F.bitmap_or_agg("bits").alias("bits"), size.alias("size"))
     return found.select(*keys, "bucket", "page", F.substring(F.col("bits"), F.lit(1), F.col("size")).alias("bits"))
 
 
-def month_sets(days: DataFrame, owner: str, date_col: str) -> DataFrame:
-    """The sets of days as sets of months, keyed by month end."""
+def month_sets(days: DataFrame, owner: str, date_col: str, laid_out: bool = False) -> DataFrame:
+    """The sets of days as sets of months, keyed by month end. ``laid_out`` says that ``days``
+    come from :func:`day_sets` as they are, by owner and bucket; stored ones are dealt first."""
+    days = days if laid_out else days.repartition(owner, "bucket")
     return merged(days.withColumn(date_col, F.last_day(date_col)), [owner, date_col])
 
 
@@ -104,7 +116,7 @@ def window_counts(
 
     A set is repeated for each window it is in and merged there; members never meet again.
     """
-    framed = dates.trailing_frame(months, date_col, last_days, max(windows.values()))
+    framed = dates.trailing_frame(months, date_col, last_days, max(windows.values())).repartition(owner, "bucket")
     repeated = trailing.repeat_per_window(framed, windows).select("as_of", owner, trailing.WINDOW, "bucket", "page", "bits")
     found = counts(merged(repeated, ["as_of", owner, trailing.WINDOW]), ["as_of", owner, trailing.WINDOW], "n")
     each = [F.coalesce(F.sum(F.when(F.col(trailing.WINDOW) == w, F.col("n"))), F.lit(0)).alias(f"{name}_{w}") for w in windows]

@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlens.checks import inputs, state_queries
-from ledgerlens.plans import seller_features
+from ledgerlens.plans import buyer_sets, seller_features
+from ledgerlens.sources.store import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,3 +18,20 @@ def test_states_are_made_of_merged_months_alone(spark, monkeypatch):
     state_queries._wide(spark, SF_DIR, [inputs.RUN_DATE])
     first, last = seen[0].agg(F.min("report_date"), F.max("report_date")).first()
     assert dt.date(1997, 1, 1) <= first and last <= dt.date(1997, 12, 31)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bitmaps_are_made_and_merged_where_they_lie(spark):
+    """A bitmap in the making is a page of 4 KB: none is shuffled."""
+    rows = inputs.typed(spark, SF_DIR).filter("counts")
+    sets = buyer_sets.day_sets(rows, "mst_seller", "mst_buyer", "report_date")
+    assert plan(buyer_sets.month_sets(sets, "mst_seller", "report_date", laid_out=True)).count("Exchange") == 1
+    stored = materialize(sets, "growth-sets")
+    merged = plan(buyer_sets.month_sets(stored, "mst_seller", "report_date"))
+    assert merged.count("Exchange") == 1 and "REPARTITION_BY_COL" in merged
+    with_dictionary = buyer_sets.day_sets(rows, "mst_seller", "mst_buyer", "report_date", buyer_sets.numbered(rows, "mst_seller", "mst_buyer"))
+    count = lambda df: sorted(map(tuple, buyer_sets.counts(df, ["mst_seller", "report_date"], "n").collect()))
+    assert count(sets) == count(with_dictionary)
