@@ -303,7 +303,7 @@ def agg_tax_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _extremes(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    found = grains.partner_extremes(inputs.partners(spark, sf_dir))
+    found = grains.partner_extremes(materialize(inputs.partners(spark, sf_dir), "partners"))
     return plain(found.select("mst_seller", "report_date", *columns), snapped=set())
 
 
@@ -366,8 +366,8 @@ def win_gap_sum_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def raw_monthly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.typed(spark, sf_dir)
-    return uniform(grains.raw_monthly(grains.day_grain(rows), grains.partner_month(rows)))
+    rows = materialize(inputs.typed(spark, sf_dir), "rows")
+    return uniform(grains.raw_monthly(grains.day_grain(rows), materialize(grains.partner_month(rows), "partners")))
 
 
 @query(

@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlens.checks import inputs, state_queries
-from ledgerlens.plans import buyer_sets, seller_features
+from ledgerlens.checks.registry import QUERIES
+from ledgerlens.plans import buyer_sets, grains, seller_features
 from ledgerlens.sources.store import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,3 +36,24 @@ def test_bitmaps_are_made_and_merged_where_they_lie(spark):
     with_dictionary = buyer_sets.day_sets(rows, "mst_seller", "mst_buyer", "report_date", buyer_sets.numbered(rows, "mst_seller", "mst_buyer"))
     count = lambda df: sorted(map(tuple, buyer_sets.counts(df, ["mst_seller", "report_date"], "n").collect()))
     assert count(sets) == count(with_dictionary)
+
+
+def test_partners_are_not_repeated_for_their_rankings(spark):
+    partners = spark.createDataFrame(
+        [("s", b, dt.date(2024, 1, 1), float(n), n, 1.0, n, float(n) if n else None, 2.0 if n else None) for b, n in (("b", 2), ("a", 2), ("c", 1), ("d", 0), ("e", 3))]
+        + [("t", "x", dt.date(2024, 1, 1), -5.0, 1, None, 0, None, None)],
+        "mst_seller string, mst_buyer string, month_start date, buyer_monthly_sales double, buyer_monthly_invoice_count long,"
+        " buyer_monthly_discount double, inv_cnt long, sales_amt double, disc_amt double",
+    )
+    found = grains.partner_extremes(partners)
+    assert "Generate" not in plan(found)
+    rows = {r["mst_seller"]: r for r in found.collect()}
+    s, t = rows["s"], rows["t"]
+    assert (s["inv_cnt_freq_buyer_taxcode"], s["sales_amt_most_freq_buyer_taxcode"], s["inv_cnt_least_freq_buyer_taxcode"]) == (3, 3.0, 1)
+    assert [s[f"sales_amt_top{k}_big_buyer_taxcode"] for k in (1, 2, 3)] == [3.0, 5.0, 7.0] and s["monthly_distinct_buyer_count"] == 5
+    assert t["inv_cnt_freq_buyer_taxcode"] is None and t["sales_amt_top3_big_buyer_taxcode"] is None and t["monthly_total_sales_buyer_taxcode"] == -5.0
+
+
+def test_raw_months_read_typed_rows_that_are_written(spark):
+    text = plan(QUERIES["raw_monthly_features"](spark, SF_DIR))
+    assert "lineitem.parquet" not in text and "o_orderkey" not in text
