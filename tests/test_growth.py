@@ -57,3 +57,10 @@ def test_partners_are_not_repeated_for_their_rankings(spark):
 def test_raw_months_read_typed_rows_that_are_written(spark):
     text = plan(QUERIES["raw_monthly_features"](spark, SF_DIR))
     assert "lineitem.parquet" not in text and "o_orderkey" not in text
+
+
+def test_contacts_are_taken_from_cards_once_and_by_many_tasks(spark):
+    text = plan(inputs.contacts(spark, SF_DIR))
+    assert "REPARTITION_BY_COL" in text.split("Generate", 1)[1]
+    found = QUERIES["join_entities_on_value"](spark, SF_DIR)
+    assert "Generate" not in plan(found) and "customer.parquet" not in plan(found)
