@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.checks import inputs, state_queries
 from ledgerlens.checks.registry import QUERIES
-from ledgerlens.plans import buyer_sets, grains, seller_features
+from ledgerlens.plans import buyer_sets, grains, related, seller_features
 from ledgerlens.sources.store import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,3 +64,20 @@ def test_contacts_are_taken_from_cards_once_and_by_many_tasks(spark):
     assert "REPARTITION_BY_COL" in text.split("Generate", 1)[1]
     found = QUERIES["join_entities_on_value"](spark, SF_DIR)
     assert "Generate" not in plan(found) and "customer.parquet" not in plan(found)
+
+
+def written(monkeypatch, module):
+    names, made = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: names.append(name) or made(df, name))
+    return names
+
+
+def test_what_first_parties_hold_is_written_for_heavy_parties_alone(spark, monkeypatch):
+    pairs = spark.createDataFrame([("a", "h"), ("b", "h"), ("c", "h"), ("a", "c")], "a string, b string")
+    contacts = spark.createDataFrame([(e, "r", v) for e, v in (("a", "1"), ("b", "1"), ("h", "1"), ("c", "2"), ("h", "2"), ("a", "2"))], "entity string, rel string, val string")
+    want = [("a", "c", "r", "2"), ("a", "h", "r", "1"), ("a", "h", "r", "2"), ("b", "h", "r", "1"), ("c", "h", "r", "2")]
+    names = written(monkeypatch, related)
+    assert sorted(map(tuple, related.evidence(pairs, contacts).collect())) == want and names == ["pairs", "contacts"]
+    known = related.known_heavy
+    monkeypatch.setattr(related, "known_heavy", lambda df, on, *_: known(df, on, 1))
+    assert sorted(map(tuple, related.evidence(pairs, contacts).collect())) == want and "held" in names
