@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.checks import inputs, state_queries
 from ledgerlens.checks.registry import QUERIES
+from ledgerlens.operators import joins
 from ledgerlens.plans import buyer_sets, grains, related, seller_features
 from ledgerlens.sources.store import materialize
 
@@ -81,3 +82,9 @@ def test_what_first_parties_hold_is_written_for_heavy_parties_alone(spark, monke
     known = related.known_heavy
     monkeypatch.setattr(related, "known_heavy", lambda df, on, *_: known(df, on, 1))
     assert sorted(map(tuple, related.evidence(pairs, contacts).collect())) == want and "held" in names
+
+
+def test_densify_makes_its_input_once(spark, monkeypatch):
+    names = written(monkeypatch, joins)
+    found = QUERIES["densify_cross"](spark, SF_DIR)
+    assert names == ["dense"] and "lineitem.parquet" not in plan(found)
