@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
 from ledgerlens.llm.components import components
-from ledgerlens.llm.shingles import mix, shingle_set
+from ledgerlens.llm.shingles import forget, mix, shingle_set
 
 #: Frequent shingles in the order table at most, and how often a task must see one.
 FREQUENT, FREQUENT_IN_TASK = 1 << 19, 2
@@ -283,7 +283,7 @@ def _by_group(keys: list[str], size: int, link: Callable[[list[dict]], list[tupl
 
 def _grouped(rows: DataFrame, keys: list[str], link: Callable[[list[dict]], list[tuple[int, int]]]) -> DataFrame:
     n = common.shuffle_partitions(rows.sparkSession)
-    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_by_group(keys, GATHERED, link), "a long, b long")
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(common.lean(_by_group(keys, GATHERED, link), forget), "a long, b long")
 
 
 def _connect_gathered(percent: int):
@@ -534,7 +534,7 @@ def _candidates(light: int, percent: int, together: int):
 def _named(postings: DataFrame, sketches: DataFrame, light: int, percent: int) -> DataFrame:
     """(id, other) of all lists of ``postings``, each once."""
     n = common.shuffle_partitions(postings.sparkSession)
-    shared = postings.repartition(n, "sign").sortWithinPartitions("sign").mapInArrow(_shared(LIST_BLOCK), SHARED)
+    shared = postings.repartition(n, "sign").sortWithinPartitions("sign").mapInArrow(common.lean(_shared(LIST_BLOCK), forget), SHARED)
     shared = common.write_and_read(shared, "lists")
     common.release(postings.sparkSession)
     # Blocks of a long list meet pair by pair; all others are one block.
@@ -544,7 +544,8 @@ def _named(postings: DataFrame, sketches: DataFrame, light: int, percent: int) -
     dealt = dealt.withColumn("low", F.least("block", "partner")).withColumn("high", F.greatest("block", "partner"))
     drawn = dealt.drop("last", "partner").join(sketches, "id")
     keys = ["sign", "low", "high"]
-    found = drawn.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_candidates(light, percent, LIST_ROWS), "id long, other long")
+    look = common.lean(_candidates(light, percent, LIST_ROWS), forget)
+    found = drawn.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(look, "id long, other long")
     named = common.write_and_read(found.distinct(), "candidates")
     common.discard(shared)
     return named
@@ -603,7 +604,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = common.distinct_texts(docs)
     nodes = texts.nodes.select(F.col("key").alias("id"), "text")
 
-    looks = common.write_and_read(nodes.mapInArrow(_looked, LOOK), "looks")
+    looks = common.write_and_read(nodes.mapInArrow(common.lean(_looked, forget), LOOK), "looks")
     signs, sizes = (looks.filter(F.col("kind") == k).select("id", "value") for k in (SIGN, SIZE))
     frequent = (
         looks.filter(F.col("kind") == FREQUENCY)
@@ -628,7 +629,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     joined = components(first)
 
     labelled = nodes.join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "text")
-    listed = labelled.mapInArrow(_listed(table, light, percent), "sign long, id long, label long, n int, place int")
+    listed = labelled.mapInArrow(common.lean(_listed(table, light, percent), forget), "sign long, id long, label long, n int, place int")
     sketches = looks.filter(F.col("kind") == SIZE).select("id", "sketch")
     wanted = _named(listed, sketches, light, percent)
     common.release(spark)

@@ -128,6 +128,10 @@ def _words(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _forget() -> None:
+    _words.cache_clear()
+
+
 def document_ids(text: str, path: str, end_id: int = 0) -> bytes:
     """Ids of a text and the closing id, four bytes each."""
     get = _words(path).__getitem__
@@ -200,7 +204,7 @@ def pack(docs: DataFrame, capacity: Capacity = Capacity(), tokenizer: str | None
     common.ship(docs.sparkSession)
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    pieces = common.write_and_read(rows.mapInArrow(_cut(path, capacity.tokens), PIECES), "pieces")
+    pieces = common.write_and_read(rows.mapInArrow(common.lean(_cut(path, capacity.tokens), _forget), PIECES), "pieces")
     whole = (F.col("length") == capacity.tokens) & F.lit(capacity.documents is None and capacity.attention is None)
     packed = pack_pieces(pieces.filter(~whole), capacity, group_pieces)
     # Full pieces need no place to be found; their numbers, all negative, count the scan.

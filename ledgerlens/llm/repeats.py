@@ -91,7 +91,7 @@ def candidate_runs(nodes: DataFrame, units: Units, window: int, sub: int) -> Dat
     is negative where the anchor has more than ``FREQUENT_RUNS`` runs."""
     repeated = (
         nodes.select("text")
-        .mapInArrow(_counted(units, window, sub), "anchor long, n long")
+        .mapInArrow(common.lean(_counted(units, window, sub)), "anchor long, n long")
         .groupBy("anchor")
         .agg(F.sum("n").alias("n"))
         .filter("n > 1")
@@ -100,7 +100,7 @@ def candidate_runs(nodes: DataFrame, units: Units, window: int, sub: int) -> Dat
     # Written, so that the join below has two plain inputs and can split a frequent anchor.
     repeated = common.write_and_read(repeated, "anchors")
     common.release(nodes.sparkSession)
-    placed = nodes.select("key", "text").mapInArrow(_placed(units, window, sub), RUNS).join(repeated, "anchor")
+    placed = nodes.select("key", "text").mapInArrow(common.lean(_placed(units, window, sub)), RUNS).join(repeated, "anchor")
     n = F.when(F.col("frequent"), -F.col("n")).otherwise(F.col("n")).alias("n")
     runs = placed.select("key", "anchor", "start", n).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("runs"))
     return nodes.join(runs, "key")
@@ -257,10 +257,10 @@ def flagged_windows(candidates: DataFrame, send: Callable, compare: Callable, al
     """
     n = common.shuffle_partitions(candidates.sparkSession)
     return (
-        candidates.mapInArrow(send, SENT)
+        candidates.mapInArrow(common.lean(send), SENT)
         .repartition(n, "route")
         .sortWithinPartitions("anchor", "body", "id", "key", "start")
-        .mapInArrow(_compared(compare, all_equal), FLAGGED)
+        .mapInArrow(common.lean(_compared(compare, all_equal)), FLAGGED)
         .groupBy("key")
         .agg(F.collect_list(F.struct("first", "last")).alias("flags"))
     )

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Cached words of one Python worker; the cache starts anew beyond it.
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 # A-Z become a-z; every other byte stays.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -24,6 +24,11 @@ class _WordNumbers(dict):
 _numbers = _WordNumbers()
 
 
+def forget() -> None:
+    """Empties the cache of this worker."""
+    _numbers.clear()
+
+
 def split_words(text: str, lower: bool = False) -> list[bytes]:
     """UTF-8 words between ASCII blanks."""
     raw = text.encode("utf-8", "surrogatepass")

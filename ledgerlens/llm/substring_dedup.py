@@ -136,7 +136,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, with_text: bool =
     # Written, so that what was shuffled for it can go before the texts are read again.
     flags = common.write_and_read(flags, "flags")
     common.release(docs.sparkSession)
-    done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(_finish(window, with_text), DONE)
+    done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(common.lean(_finish(window, with_text)), DONE)
     gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
     return texts.rows.join(done, "key").select(

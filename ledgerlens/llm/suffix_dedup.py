@@ -239,7 +239,7 @@ def remove_earlier_strings(docs: DataFrame, window: int = 100, with_text: bool =
     # Written, so that what was shuffled for it can go before the texts are read again.
     flags = common.write_and_read(flags, "flags")
     common.release(docs.sparkSession)
-    done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(_finish(window, with_text), DONE)
+    done = texts.nodes.select("key", "text").join(flags, "key", "left").mapInArrow(common.lean(_finish(window, with_text)), DONE)
     # A later copy of a whole text was there before, from its first byte to its last.
     copy = (F.col("id") != F.col("owner")) & (F.col("n_bytes") >= window)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))

@@ -262,7 +262,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, exception
     toxic, clean = of_label.get(1, 0), of_label.get(0, 0)
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     candidates = (
-        sample.mapInArrow(_count_patterns, "pattern string, toxic long, clean long")
+        sample.mapInArrow(common.lean(_count_patterns), "pattern string, toxic long, clean long")
         .groupBy("pattern")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter(F.col("toxic") >= SUPPORT)
