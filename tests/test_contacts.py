@@ -99,6 +99,21 @@ def test_every_member_of_every_group_is_listed_once(spark):
     assert [(r.a, r.b, r.val) for r in related.evidence(asked, held).collect()] == [("2", "3", "0912345678")]
 
 
+def test_every_pair_of_every_group_is_listed_once_per_value(spark, monkeypatch):
+    held = [(f"e{i}", "r", "switchboard") for i in range(40)] + [("e3", "r", "2"), ("e1", "r", "2"), ("e9", "r", "1"), ("e3", "q", "2"), ("e7", "q", "2")]
+    contacts = spark.createDataFrame(held, "entity string, rel string, val string")
+    want = {(rel, val, *sorted((a, b))) for a, rel, val in held for b, r, v in held if (rel, val) == (r, v) and a != b}
+    seen = []
+    known = related.known_heavy
+    monkeypatch.setattr(related, "known_heavy", lambda *args, **more: seen.append(known(*args, **more)) or seen[-1])
+    for block in (100, 7):
+        rows = related.shared_pairs(contacts, block, 50).collect()
+        assert len(rows) == len(want) == 782 and {(r.rel, r.val, r.a, r.b) for r in rows} == want
+        assert {r.holders for r in rows if r.val == "switchboard"} == {40}
+    parts = [None if h is None else [(r.val, r["_parts"]) for r in h.collect()] for h in seen[1::2]]
+    assert parts == [None, [("switchboard", 6)]]
+
+
 def test_published_report_round_trip(spark):
     held = contacts.contact_values(cards(spark), "entity", ["phone"], ["email"], ["doc"])
     report = related.published(related.related_pairs(every_pair(spark), held))
