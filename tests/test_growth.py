@@ -8,6 +8,7 @@ from ledgerlens.checks import inputs, state_queries
 from ledgerlens.checks.registry import QUERIES
 from ledgerlens.operators import joins
 from ledgerlens.plans import buyer_sets, grains, related, seller_features
+from ledgerlens.sources import store
 from ledgerlens.sources.store import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -88,3 +89,20 @@ def test_densify_makes_its_input_once(spark, monkeypatch):
     names = written(monkeypatch, joins)
     found = QUERIES["densify_cross"](spark, SF_DIR)
     assert names == ["dense"] and "lineitem.parquet" not in plan(found)
+
+
+def test_grains_are_written_slice_by_slice_and_rows_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(store, "shared_folder", lambda spark: str(tmp_path))
+    used, made = [], grains.day_grain
+    monkeypatch.setattr(grains, "day_grain", lambda rows: used.append(rows.count()) or made(rows))
+    typed = inputs.typed(spark, SF_DIR)
+    found = {}
+    for size in (1 << 40, 50_000):
+        monkeypatch.setattr(store, "BYTES_PER_SLICE", size)
+        used.clear()
+        found[size] = [sorted(map(str, df.collect())) for df in seller_features.written_grains(typed)]
+        assert (len(used) == 1) == (size == 1 << 40) and len(used) <= store.MOST_SLICES and sum(used) == typed.count()
+        assert sorted({f.name.split("-")[0] for f in tmp_path.iterdir()}) == ["days", "partners"]
+    assert found[50_000] == found[1 << 40] and all(found[50_000])
+    none = seller_features.written_grains(typed.filter("mst_seller = 'nobody'"))
+    assert [df.count() for df in none] == [0, 0]
