@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.checks import inputs, state_queries
 from ledgerlens.checks.registry import QUERIES
-from ledgerlens.operators import joins
+from ledgerlens.operators import joins, month_states
 from ledgerlens.plans import buyer_sets, grains, related, seller_features
 from ledgerlens.sources import store
-from ledgerlens.sources.store import materialize
+from ledgerlens.sources.store import bucketed, materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -106,3 +106,15 @@ def test_grains_are_written_slice_by_slice_and_rows_go(spark, monkeypatch, tmp_p
     assert found[50_000] == found[1 << 40] and all(found[50_000])
     none = seller_features.written_grains(typed.filter("mst_seller = 'nobody'"))
     assert [df.count() for df in none] == [0, 0]
+
+
+def test_windows_are_merged_and_laid_side_by_side_where_states_lie(spark):
+    days = bucketed(inputs.day_grain(spark, SF_DIR), "growth_days", "mst_seller", ["mst_seller", "report_date"])
+    states = bucketed(seller_features.states_of_days(days), "growth_states", "mst_seller", ["mst_seller", "report_date", "metric"])
+    months = grains.month_grain(grains.daily_sellers(days))
+    last_days = [inputs.LAST_DAY, dt.date(1997, 11, 30)]
+    windows = month_states.window_states(states, ["mst_seller"], last_days)
+    beside = seller_features._beside(windows, seller_features.pack_monthly(inputs.dates.trailing_frame(months, "report_date", last_days)))
+    assert "Exchange" not in plan(windows) and "Exchange hashpartitioning" not in plan(beside)
+    rows = [(r.as_of, r.mst_seller, r.monthly is None) for r in beside.select("as_of", "mst_seller", "monthly").collect()]
+    assert len(rows) == len(set(rows)) == windows.count() > 0 and not any(r[2] for r in rows)
